@@ -75,8 +75,15 @@ def validate(df: DataFrame, rules: Rules) -> DataFrame:
 
 
 def checked(bronze: DataFrame, rules: Rules) -> DataFrame:
-    """Bronze rows with types, normal forms and the verdict of the reject rules."""
-    return validate(normalize_categoricals(parse_types(blank_to_null(bronze)), rules), rules)
+    """Bronze rows with types, normal forms and the verdict of the reject rules.
+
+    Same result as blank_to_null first: parsers and categorical look-ups turn blanks into NULL or a
+    rejected value themselves, so only the free-text columns need that step.
+    """
+    handled = {*schemas.NUMERIC_COLUMNS, *schemas.TIMESTAMP_COLUMNS, "property_state", "application_status"}
+    free_text = [c for c, t in bronze.dtypes if t == "string" and c not in handled and not c.startswith("_")]
+    nulled = bronze.withColumns({c: X.blank_to_null(F.col(c)) for c in free_text})
+    return validate(normalize_categoricals(parse_types(nulled), rules), rules)
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -18,6 +18,7 @@ from loanmill.operators.derive import derive, silver_projection
 from loanmill.operators.incremental import LoadResult, load_gold
 from loanmill.plans.star import Star
 from loanmill.rules import Rules
+from loanmill.session import written
 from loanmill.sources import feeds, files
 from loanmill.sources.audit import stage, utc_now
 from loanmill.sources.tables import Warehouse
@@ -26,19 +27,18 @@ SILVER, REJECTS = "silver_loan_application", "transformation_rejected"
 PROFILE, CONCERNS, QUALITY = "bronze_profile", "bronze_concerns", "quality_reports"
 
 
-def transform(bronze: DataFrame, rules: Rules, bronze_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def transform(bronze: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     """(Silver, reject log) of a Bronze frame.
 
-    Two passes over Bronze feed Silver: a narrow one for the imputation medians, then the full one with a single
-    exchange, on the application id, to keep each application's latest version. Imputation follows that
-    choice: it does not affect it, and fewer rows remain.
+    Text is parsed once, into a staged typed table with the verdict per row; medians, rejects and Silver
+    read the few columns they need from there. Silver then takes a single exchange, on the application
+    id, to keep each application's latest version. Imputation follows that choice: it does not affect it,
+    and fewer rows remain.
     """
-    if bronze_rows is None:
-        bronze_rows = bronze.count()  # Parquet footers only
-    kept, rejects = C.split_rejects(C.checked(bronze, rules))
-    medians = C.medians_by_loan_type(kept, bronze_rows)
-    latest = C.latest_version(kept)
-    silver = silver_projection(derive(C.impute(latest, medians), rules))
+    staged = written(C.checked(bronze, rules), "checked")
+    kept, rejects = C.split_rejects(staged)
+    medians = C.medians_by_loan_type(kept, staged.count())
+    silver = silver_projection(derive(C.impute(C.latest_version(kept), medians), rules))
     return silver, rejects
 
 
@@ -53,15 +53,14 @@ class TransformCounts:
 def refresh_silver(warehouse: Warehouse, bronze: DataFrame, rules: Rules, run_id: str) -> TransformCounts:
     """Rebuild Silver and its reject log, both always rewritten."""
     with stage(warehouse, run_id, "transformation") as counts:
-        bronze_rows = bronze.count()
-        silver, rejects = transform(bronze, rules, bronze_rows)
+        silver, rejects = transform(bronze, rules)
         silver = warehouse.write(SILVER, silver)
         rejects = warehouse.write(REJECTS, rejects)
         tally = silver.agg(
             F.count(F.lit(1)).alias("n"), count_if(F.col("data_quality_status") == "flagged").alias("flagged")
         ).first()
-        counts.rows_read, counts.rows_new, counts.rows_rejected = bronze_rows, tally["n"], rejects.count()
-        return TransformCounts(bronze_rows, counts.rows_rejected, tally["n"], tally["flagged"])
+        counts.rows_read, counts.rows_new, counts.rows_rejected = bronze.count(), tally["n"], rejects.count()
+        return TransformCounts(counts.rows_read, counts.rows_rejected, tally["n"], tally["flagged"])
 
 
 def refresh_profile(warehouse: Warehouse, bronze: DataFrame) -> DataFrame:

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Wide parsing projections make methods above the JVM's 8000-byte compile limit, which then run
+    # interpreted; below this limit Spark falls back to smaller generated methods that do get compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
@@ -57,3 +60,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for an input with fewer splits than cores; larger inputs pass through untouched."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from loanmill import schemas
 from loanmill.functions.numbers import moment
 from loanmill.rules import Rules
+from loanmill.session import spread
 
 CSV_FILE, JSON_FILE = "feed_F.csv", "feed_O.json"
 CSV_TIME, JSON_TIME = datetime(2002, 1, 1), datetime(2002, 1, 2)
@@ -43,7 +44,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 source columns as text, with `_source_file`, blank ids included."""
     table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
     lines = (
-        table("lineitem")
+        spread(table("lineitem"))
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
