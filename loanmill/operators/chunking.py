@@ -68,12 +68,17 @@ def chunk(sectioned: DataFrame, size: int, overlap: int) -> DataFrame:
 
 
 def chunk_documents(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """(`chunk_id`, `document_name`, `section_title`, `text`) of every chunk of every document."""
+    """(`chunk_key`, `chunk_id`, `document_name`, `section_title`, `text`) of every chunk of every document.
+
+    `chunk_id` is the readable name and repeats when a document repeats a section title; `chunk_key` is
+    unique and sorts in document order.
+    """
     pieces = chunk(sections(documents), rules.chunk_chars, rules.chunk_overlap)
     suffix = F.when(
         F.col("parts") > 1, F.concat(F.lit(" (part "), (F.col("part_no") + 1).cast("string"), F.lit(")"))
     ).otherwise("")
     return pieces.select(
+        F.format_string("%s#%06d.%06d", "document", "section_no", "part_no").alias("chunk_key"),
         F.concat("document", F.lit("::"), "section_title", suffix).alias("chunk_id"),
         F.col("title").alias("document_name"),
         F.concat("section_title", suffix).alias("section_title"),

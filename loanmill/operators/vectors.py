@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 from loanmill.sources import files
 
 # A question block of at most this many vectors goes to every task; more questions are searched on a grid.
-QUESTION_BLOCK = 4096
-CHUNK_BLOCK = 65_536
+QUESTION_BLOCK = 2048
+CHUNK_BLOCK = 16_384
 # Scores are compared after rounding here, so the order of additions cannot change a ranking.
 SCORE_DIGITS = 9
 
@@ -62,16 +62,36 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the k highest scores, ties by id."""
-    if scores.shape[1] > k:
-        # Everything that ties with the k-th score stays in play until ids decide.
-        kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-        keep = np.flatnonzero((scores >= kth).any(axis=0))
-        scores, ids = scores[:, keep], ids[:, keep] if ids.ndim == 2 else ids[keep]
-    ids = np.broadcast_to(ids, scores.shape)
-    order = np.lexsort((ids, -scores), axis=1)[:, :k]
-    return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
+class _Best:
+    """The k highest-scoring chunks per question so far, ties by chunk id, as flat parallel arrays."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.rows = self.ids = self.scores = None
+
+    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Take in a questions x chunks score matrix. Only cells that reach their row's k-th best score are
+        sorted; ties with it stay in until ids decide."""
+        if scores.shape[1] > self.k:
+            kth = np.partition(scores, -self.k, axis=1)[:, -self.k][:, None]
+            rows, cols = np.nonzero(scores >= kth)
+        else:
+            rows, cols = np.nonzero(np.ones_like(scores, dtype=bool))
+        found = rows, ids[cols], scores[rows, cols]
+        if self.rows is not None:
+            held = self.rows, self.ids, self.scores
+            found = tuple(np.concatenate(pair) for pair in zip(held, found))
+        rows, ids, values = found
+        order = np.lexsort((ids, -values, rows))
+        rows, ids, values = rows[order], ids[order], values[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+        keep = place < self.k
+        self.rows, self.ids, self.scores = rows[keep], ids[keep], values[keep]
+
+    def batch(self, names: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({
+            "question_id": [names[r] for r in self.rows], "chunk_id": self.ids.tolist(), "score": self.scores
+        })
 
 
 def _scores(questions: np.ndarray, chunks: np.ndarray) -> np.ndarray:
@@ -90,6 +110,8 @@ def top_k(questions: DataFrame, chunks: DataFrame, k: int, question_block: int =
     products inside tasks, and a task hands on no more than its k best per question. Up to `question_block` questions travel
     to the chunks, which stay where they are; more are searched block against block, see `_grid`.
     """
+    questions = questions.filter(F.col("embedding").isNotNull())
+    chunks = chunks.filter(F.col("embedding").isNotNull())
     block = questions.select("question_id", "embedding").limit(question_block + 1).toArrow()
     if block.num_rows > question_block:
         return _ranked(_grid(questions, chunks, k, question_block), k)
@@ -104,30 +126,16 @@ def top_k(questions: DataFrame, chunks: DataFrame, k: int, question_block: int =
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, wanted = shared.value
-        best_scores = best_ids = None
+        best = _Best(k)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = _scores(wanted, _matrix(batch.column("embedding")))
-            ids = np.broadcast_to(np.array(batch.column("chunk_id").to_pylist()), found.shape)
-            if best_scores is not None:
-                found, ids = np.hstack([best_scores, found]), np.hstack([best_ids, ids])
-            best_scores, best_ids = _best(found, ids, k)
-        if best_scores is not None:
-            yield _rows(names, best_ids, best_scores)
+            if batch.num_rows:
+                best.add(_scores(wanted, _matrix(batch.column("embedding"))), np.array(batch.column("chunk_id").to_pylist()))
+        if best.rows is not None:
+            yield best.batch(names)
 
     return _ranked(chunks.select("chunk_id", "embedding").mapInArrow(search, schema), k)
 
 
-def _rows(names: list, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
-    width = ids.shape[1]
-    return pa.RecordBatch.from_pydict({
-        "question_id": [name for name in names for _ in range(width)],
-        "chunk_id": ids.ravel().tolist(),
-        "score": scores.ravel(),
-    })
-
-
 def _grid(questions: DataFrame, chunks: DataFrame, k: int, question_block: int) -> DataFrame:
     """Score block against block when the questions outgrow one block.
 
@@ -160,8 +168,8 @@ def _grid(questions: DataFrame, chunks: DataFrame, k: int, question_block: int)
     def cell(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
             return nothing(a, b)
-        found = _scores(_matrix(a["embedding"]), _matrix(b["embedding"]))
-        scores, ids = _best(found, np.array(b["chunk_id"].to_pylist()), k)
-        return pa.Table.from_batches([_rows(a["question_id"].to_pylist(), ids, scores)])
+        best = _Best(k)
+        best.add(_scores(_matrix(a["embedding"]), _matrix(b["embedding"])), np.array(b["chunk_id"].to_pylist()))
+        return pa.Table.from_batches([best.batch(a["question_id"].to_pylist())])
 
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(cell, schema)

@@ -32,8 +32,9 @@ def ask(questions: DataFrame, index: DataFrame, encoder, rules: Rules = Rules())
     """
     askable, _ = split_questions(questions, rules)
     asked = vectors.embed(askable.select("question_id", F.col("question").alias("text")), encoder)
-    found = vectors.top_k(asked.select("question_id", "embedding"), index.select("chunk_id", "embedding"), rules.top_k)
-    passages = found.join(index.drop("embedding"), "chunk_id")
+    key = F.col("chunk_key").alias("chunk_id")
+    found = vectors.top_k(asked.select("question_id", "embedding"), index.select(key, "embedding"), rules.top_k)
+    passages = found.withColumnRenamed("chunk_id", "chunk_key").join(index.drop("embedding"), "chunk_key")
     composed = answers.compose(passages, rules.min_score, rules.max_passages)
     return askable.join(composed, "question_id", "left")
 

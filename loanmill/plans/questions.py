@@ -80,8 +80,8 @@ def q04_loan_by_lender_and_type(star: Star, fact_rows: int | None = None) -> Dat
     return means.join(medians, keys).select(
         *keys,
         "applications",
-        N.round_away(F.col("mean"), 2).alias("avg_loan_amount"),
-        N.round_away(F.col("loan_amount_median"), 2).alias("median_loan_amount"),
+        N.cents(F.col("mean")).alias("avg_loan_amount"),
+        N.cents(F.col("loan_amount_median")).alias("median_loan_amount"),
     ).orderBy(*keys)
 
 
