@@ -10,9 +10,8 @@ WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-NUMBER_FORM = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INFINITY_FORM = r"^[+-]?inf(inity)?$"
-TIMESTAMP_FORM = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?$"
+FRACTION_FORM = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}[.][0-9]{1,9}$"
 
 
 def _printable(code: Column) -> Column:
@@ -43,12 +42,28 @@ def parse_number(c: Column) -> Column:
     return parse_plain_number(F.when(decorated, F.translate(c, ",$", "")).otherwise(c))
 
 
+def _char(c: Column, position: int) -> Column:
+    return F.substring(c, position, 1)
+
+
+def _ends_in_digit(c: Column) -> Column:
+    return F.ascii(_char(c, -1)).between(48, 57)
+
+
 def parse_plain_number(c: Column) -> Column:
+    """Decimal number text with optional sign, fraction and exponent.
+
+    The checks before the cast keep out what the JVM would also read as a number (`1.0d`, `NaN`, hexadecimal)
+    and most of what it would raise on; they cost a fraction of a pattern match.
+    """
     text = strip(c)
-    infinite = F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return F.when(text.rlike(NUMBER_FORM), text.try_cast("double")).when(
-        F.lower(text).rlike(INFINITY_FORM), infinite
-    )
+    first, last = F.ascii(text), F.ascii(_char(text, -1))
+    starts = first.between(48, 57) | first.isin(43, 45, 46)  # digit + - .
+    ends = last.between(48, 57) | (last == 46)
+    decimal = starts & ends & ~text.contains("x") & ~text.contains("X")
+    infinite = F.when(first == 45, F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    spelled = (last.isin(70, 89, 102, 121)) & F.lower(text).rlike(INFINITY_FORM)  # ends in f or y
+    return F.when(decimal, text.try_cast("double")).when(spelled, infinite)
 
 
 def parse_integer(c: Column) -> Column:
@@ -58,6 +73,20 @@ def parse_integer(c: Column) -> Column:
 
 
 def parse_timestamp(c: Column) -> Column:
-    """ISO date or date-time text without zone; impossible days and other forms are NULL."""
+    """ISO date or date-time text without zone (minutes, seconds or fractions of them); impossible days and
+    other forms are NULL.
+
+    With the separators in place and a digit at the end, the cast itself rejects whatever else is wrong;
+    only text with a fraction needs a pattern.
+    """
     text = strip(c)
-    return F.when(text.rlike(TIMESTAMP_FORM), text.try_cast("timestamp_ntz"))
+    size = F.length(text)
+    dated = (_char(text, 5) == "-") & (_char(text, 8) == "-") & _ends_in_digit(text)
+    timed = _char(text, 11).isin(" ", "T") & (_char(text, 14) == ":")
+    well_formed = (
+        F.when(size == 10, dated)
+        .when(size == 16, dated & timed)
+        .when(size == 19, dated & timed & (_char(text, 17) == ":"))
+        .when(size > 19, text.rlike(FRACTION_FORM))
+    )
+    return F.when(well_formed, text.try_cast("timestamp_ntz"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanmill.rules import Rules
-from loanmill.session import written
+from loanmill.session import side_by_side, written
 from loanmill.sources.tables import Warehouse
 
 # New keys are numbered slot by slot; a slot is a hash class of the natural key, so numbering is
@@ -162,20 +162,23 @@ def refresh_dims(warehouse: Warehouse, silver: DataFrame, rules: Rules) -> dict[
             known = keys if known is None else known.unionByName(keys)
             base[d.table] = dim.agg(F.coalesce(F.max(d.key), F.lit(0))).first()[0]
         fresh = incoming.join(known, _same_key(incoming, known), "left_anti")
-    fresh = written(fresh, "new-keys")
     numbered = written(number_keys(fresh, base), "numbered-keys")
-    grown = {row["dim"] for row in fresh.select("dim").distinct().collect()}  # at most four names
-
-    for d in SMALL:
-        if d.table in grown or d not in existing:
-            rows = _as_rows(d, numbered)
-            warehouse.write(d.table, existing[d].unionByName(rows) if d in existing else rows)
-    rows = _as_rows(APPLICANT, numbered).join(attributes, "applicant_id").select(
-        "applicant_key", "applicant_id", "income_band", "credit_score_range"
-    )
-    if APPLICANT in existing:
-        rows = overwrite_attributes(existing[APPLICANT], attributes).unionByName(rows)
-    warehouse.write(APPLICANT.table, rows)
+    grown = {row["dim"] for row in numbered.select("dim").distinct().collect()}  # at most four names
+
+    def publish(d: Dimension) -> None:
+        rows = _as_rows(d, numbered)
+        if d is APPLICANT:
+            rows = rows.join(attributes, "applicant_id").select(
+                "applicant_key", "applicant_id", "income_band", "credit_score_range"
+            )
+            if d in existing:
+                rows = overwrite_attributes(existing[d], attributes).unionByName(rows)
+        elif d in existing:
+            rows = existing[d].unionByName(rows)
+        warehouse.write(d.table, rows)
+
+    changed = [d for d in DIMENSIONS if d is APPLICANT or d.table in grown or d not in existing]
+    side_by_side(*[lambda d=d: publish(d) for d in changed])
     return load_dims(warehouse)
 
 

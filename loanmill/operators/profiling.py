@@ -25,9 +25,9 @@ def row_counts(bronze: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long form (column_name, value, n): distinct values with their multiplicity."""
-    long = df.select(*columns).unpivot([], list(columns), "column_name", "value")
-    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    """Long form (position, value, n): distinct values per column (0-based) with their multiplicity."""
+    long = df.select(F.posexplode(F.array(*columns)).alias("position", "value"))
+    return long.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def profile(
@@ -41,17 +41,18 @@ def profile(
     only large exchange carries distinct (column, value) pairs after map-side counting.
     """
     columns = [c for c in bronze.columns if not c.startswith("_")]
-    name, value, n = F.col("column_name"), F.col("value"), F.col("n")
-    is_numeric, is_date = name.isin(list(numeric)), name.isin(list(dates))
+    place, value, n = F.col("position"), F.col("value"), F.col("n")
+    is_numeric = place.isin([i for i, c in enumerate(columns) if c in numeric])
+    is_date = place.isin([i for i, c in enumerate(columns) if c in dates])
     parsed = value_counts(bronze, columns).select(
-        name, n, value.isNotNull().alias("present"), X.is_blank(value).alias("blank"),
+        place, n, value.isNotNull().alias("present"), X.is_blank(value).alias("blank"),
         F.when(is_numeric, X.parse_number(value)).alias("number"),
         F.when(is_date, X.parse_timestamp(value)).alias("moment"),
     )
     number, moment = F.col("number"), F.col("moment")
     missing = F.sum(F.when(F.col("blank"), n).otherwise(0))
     unparsed = F.sum(F.when((is_numeric & number.isNull()) | (is_date & moment.isNull()), n).otherwise(0))
-    stats = parsed.groupBy("column_name").agg(
+    stats = parsed.groupBy("position").agg(
         F.sum(n).alias("record_count"),
         missing.alias("null_count"),
         N.count_if(F.col("present")).alias("distinct_count"),
@@ -64,12 +65,9 @@ def profile(
     )
     text_of = lambda m: F.date_format(m, "yyyy-MM-dd HH:mm:ss")
     invalid = F.when(is_numeric | is_date, F.greatest(F.col("unparsed") - F.col("null_count"), F.lit(0))).otherwise(F.lit(0))
-    position = F.lit(0)
-    for index, column in enumerate(columns, start=1):
-        position = F.when(name == column, F.lit(index)).otherwise(position)
     return stats.select(
-        position.alias("position"),
-        "column_name",
+        (place + 1).alias("position"),
+        F.element_at(F.array(*[F.lit(c) for c in columns]), place + 1).alias("column_name"),
         "record_count",
         "null_count",
         N.round_even(F.try_divide(F.lit(100.0) * F.col("null_count"), F.col("record_count")), 2).alias("null_pct"),

@@ -18,7 +18,7 @@ from loanmill.operators.derive import derive, silver_projection
 from loanmill.operators.incremental import LoadResult, load_gold
 from loanmill.plans.star import Star
 from loanmill.rules import Rules
-from loanmill.session import written
+from loanmill.session import side_by_side, written
 from loanmill.sources import feeds, files
 from loanmill.sources.audit import stage, utc_now
 from loanmill.sources.tables import Warehouse
@@ -53,9 +53,10 @@ class TransformCounts:
 def refresh_silver(warehouse: Warehouse, bronze: DataFrame, rules: Rules, run_id: str) -> TransformCounts:
     """Rebuild Silver and its reject log, both always rewritten."""
     with stage(warehouse, run_id, "transformation") as counts:
-        silver, rejects = transform(bronze, rules)
-        silver = warehouse.write(SILVER, silver)
-        rejects = warehouse.write(REJECTS, rejects)
+        silver_rows, reject_rows = transform(bronze, rules)
+        silver, rejects = side_by_side(
+            lambda: warehouse.write(SILVER, silver_rows), lambda: warehouse.write(REJECTS, reject_rows)
+        )
         tally = silver.agg(
             F.count(F.lit(1)).alias("n"), count_if(F.col("data_quality_status") == "flagged").alias("flagged")
         ).first()
@@ -65,8 +66,11 @@ def refresh_silver(warehouse: Warehouse, bronze: DataFrame, rules: Rules, run_id
 
 def refresh_profile(warehouse: Warehouse, bronze: DataFrame) -> DataFrame:
     """Store the column profile and its concerns; returns the profile."""
-    profiled = warehouse.write(PROFILE, profiling.profile(bronze))
-    warehouse.write(CONCERNS, profiling.concerns(profiled, profiling.row_counts(bronze)))
+    profiled, counts = side_by_side(
+        lambda: warehouse.write(PROFILE, profiling.profile(bronze)),
+        lambda: written(profiling.row_counts(bronze), "row-counts"),
+    )
+    warehouse.write(CONCERNS, profiling.concerns(profiled, counts))
     return profiled
 
 

@@ -83,3 +83,15 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("rows_rejected", T.LongType()),
     T.StructField("error_message", T.StringType()),
 ])
+
+# Stored tables with a fixed shape; naming the schema on read spares a footer-reading job.
+TABLES = {
+    "silver_loan_application": SILVER_SCHEMA,
+    "transformation_rejected": REJECT_SCHEMA,
+    "dim_date": "date_key int, full_date date, year int, quarter int, month int, month_name string, year_month string, "
+    "day_of_month int, day_of_week int, day_name string",
+    "dim_applicant": "applicant_key bigint, applicant_id string, income_band string, credit_score_range string",
+    "dim_property": "property_key bigint, property_state string, property_county string",
+    "dim_lender": "lender_key bigint, lender_name string",
+    "dim_loan_product": "loan_product_key bigint, loan_type string, loan_term_months int",
+}

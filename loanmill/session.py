@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +68,9 @@ def spread(df: DataFrame) -> DataFrame:
     """Use all cores for an input with fewer splits than cores; larger inputs pass through untouched."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def side_by_side(*jobs: Callable[[], object]) -> list:
+    """Run independent Spark jobs at the same time, so one's tail does not leave executors idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [future.result() for future in [pool.submit(job) for job in jobs]]

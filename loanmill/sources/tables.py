@@ -40,7 +40,10 @@ class Warehouse:
         if not self.has(name):
             raise FileNotFoundError(f"table {name} does not exist yet under {self.root}")
         version = files.read_text(self.spark, self._pointer(name)).strip()
-        return self.spark.read.parquet(f"{self.root}/{name}/{version}")
+        reader = self.spark.read
+        if name in schemas.TABLES:
+            reader = reader.schema(schemas.TABLES[name])
+        return reader.parquet(f"{self.root}/{name}/{version}")
 
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(f"{self.root}/{name}/rows")
