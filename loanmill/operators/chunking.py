@@ -17,7 +17,7 @@ TITLE_LINE = r"(?dm)^# .*(\n|\z)"
 def read_documents(spark: SparkSession, pattern: str) -> DataFrame:
     """(`document`, `text`): one row per file, named by its file stem."""
     name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    return spark.read.option("wholetext", True).text(pattern).select(name.alias("document"), F.col("value").alias("text"))
+    return spark.read.text(pattern, wholetext=True).select(name.alias("document"), F.col("value").alias("text"))
 
 
 def clean_text(c: Column) -> Column:

@@ -41,6 +41,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1 -XX:+UseSerialGC")
         # On a handful of rows compiling generated code is most of the time; results do not depend on it.
         .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
