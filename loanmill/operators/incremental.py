@@ -13,6 +13,7 @@ from loanmill.functions.hashing import fingerprint
 from loanmill.functions.numbers import count_if, moment
 from loanmill.operators import dimensions as D
 from loanmill.rules import Rules
+from loanmill.sources import files
 from loanmill.sources.audit import stage, utc_now
 from loanmill.sources.tables import MONTH, Warehouse, month_of
 
@@ -95,6 +96,7 @@ def load_gold(
             counts.rows_new, counts.rows_updated = tally["new"], tally["updated"]
             if counts.rows_new or counts.rows_updated:
                 _merge_months(warehouse, staged)
+            files.delete(spark, path)
         totals = silver.agg(F.count(F.lit(1)).alias("n"), count_if(D.lacks_key()).alias("lacking")).first()
         counts.rows_read, counts.rows_rejected = totals["n"], totals["lacking"]
         counts.rows_unchanged = counts.rows_read - counts.rows_rejected - counts.rows_new - counts.rows_updated
@@ -115,3 +117,4 @@ def _merge_months(warehouse: Warehouse, staged: DataFrame) -> None:
     filled = {row[MONTH] for row in rewritten.select(MONTH).distinct().collect()}
     for month in set(months) - filled:
         warehouse.drop_month(month)
+    files.delete(warehouse.spark, path)

@@ -18,6 +18,7 @@ from loanmill.plans import questions as Q
 from loanmill.plans.lake import Lake
 from loanmill.plans.portfolio import PortfolioFilter, ViewFilter
 from loanmill.rules import Rules
+from loanmill.session import written
 from loanmill.sources import audit, star_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -516,7 +517,7 @@ def answer_compose(lake: Lake) -> DataFrame:
 def batch_ask(lake: Lake) -> DataFrame:
     """Every benchmark passage asked against an index of all documents."""
     index, encoder = ask.build_index(_documents(lake))
-    index = ask.written(index, "index")
+    index = written(index, "index")
     questions = lake.table("benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
     return ask.ask(questions, index, encoder).select(
         "question_id", "question", "is_answerable", F.length("answer").alias("answer_chars"),

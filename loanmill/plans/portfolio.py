@@ -60,9 +60,10 @@ class ViewFilter:
     statuses: Sequence[str] = ()
     risks: Sequence[str] = ()
 
-    def apply(self, view: DataFrame) -> DataFrame:
+    def condition(self) -> Column:
+        chosen = F.lit(True)
         if self.start is not None and self.end is not None:
-            view = view.filter(F.col("application_date").between(F.lit(self.start), F.lit(self.end)))
+            chosen = chosen & F.col("application_date").between(F.lit(self.start), F.lit(self.end))
         lists = {
             "property_state": self.states,
             "lender_name": self.lenders,
@@ -72,8 +73,11 @@ class ViewFilter:
         }
         for column, values in lists.items():
             if values:
-                view = view.filter(F.col(column).isin(list(values)))
-        return view
+                chosen = chosen & F.col(column).isin(list(values))
+        return chosen
+
+    def apply(self, view: DataFrame) -> DataFrame:
+        return view.filter(self.condition())
 
 
 def _or_zero(c: Column) -> Column:
@@ -118,11 +122,8 @@ def monthly(rows: DataFrame) -> DataFrame:
 
 def match_counts(view: DataFrame, chosen: ViewFilter) -> DataFrame:
     """One row: applications that match the filter, and all of them, in a single pass."""
-    matched = chosen.apply(view).agg(F.count(F.lit(1)).alias("n")).select(F.lit("matching").alias("kind"), "n")
-    everything = view.agg(F.count(F.lit(1)).alias("n")).select(F.lit("all").alias("kind"), "n")
-    return matched.unionByName(everything).agg(
-        F.max(F.when(F.col("kind") == "matching", F.col("n"))).alias("matching_applications"),
-        F.max(F.when(F.col("kind") == "all", F.col("n"))).alias("all_applications"),
+    return view.agg(
+        N.count_if(chosen.condition()).alias("matching_applications"), F.count(F.lit(1)).alias("all_applications")
     )
 
 

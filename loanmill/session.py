@@ -9,6 +9,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanmill.sources import files
+
 # Settings a cluster job should carry; sizes are left to spark-submit.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,8 +51,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/loanmill/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/loanmill/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once no frame built from them is needed any more."""
+    files.delete(spark, _scratch_root(spark))
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
