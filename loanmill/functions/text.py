@@ -36,10 +36,26 @@ def blank_to_null(c: Column) -> Column:
     return F.when(~is_blank(c), c)
 
 
+def undecorated(c: Column) -> Column:
+    """Drop `$` and `,`."""
+    return F.when(c.contains(",") | c.contains("$"), F.translate(c, ",$", "")).otherwise(c)
+
+
 def parse_number(c: Column) -> Column:
-    """Number text with optional `$` and `,`; other text, including NaN and type suffixes, is NULL."""
-    decorated = c.contains(",") | c.contains("$")
-    return parse_plain_number(F.when(decorated, F.translate(c, ",$", "")).otherwise(c))
+    """Number text with optional `$` and `,`; other text, including NaN and type suffixes, is NULL.
+
+    The parsers below look at their argument many times. Where it is an expression, as here, Spark has to find
+    the repetition, which it cannot inside conditionals; on many rows project the stripped text to a column first.
+    """
+    return number_of(strip(undecorated(c)))
+
+
+def parse_integer(c: Column) -> Column:
+    return integer_of(strip(c))
+
+
+def parse_timestamp(c: Column) -> Column:
+    return timestamp_of(strip(c))
 
 
 def _char(c: Column, position: int) -> Column:
@@ -50,13 +66,12 @@ def _ends_in_digit(c: Column) -> Column:
     return F.ascii(_char(c, -1)).between(48, 57)
 
 
-def parse_plain_number(c: Column) -> Column:
+def number_of(text: Column) -> Column:
     """Decimal number text with optional sign, fraction and exponent.
 
     The checks before the cast keep out what the JVM would also read as a number (`1.0d`, `NaN`, hexadecimal)
     and most of what it would raise on; they cost a fraction of a pattern match.
     """
-    text = strip(c)
     first, last = F.ascii(text), F.ascii(_char(text, -1))
     starts = first.between(48, 57) | first.isin(43, 45, 46)  # digit + - .
     ends = last.between(48, 57) | (last == 46)
@@ -66,20 +81,19 @@ def parse_plain_number(c: Column) -> Column:
     return F.when(decimal, text.try_cast("double")).when(spelled, infinite)
 
 
-def parse_integer(c: Column) -> Column:
+def integer_of(text: Column) -> Column:
     """Whole-number text (`360`, `360.0`); fractions and everything else are NULL."""
-    number = parse_plain_number(c)
+    number = number_of(text)
     return F.when((number == F.rint(number)) & (F.abs(number) < F.lit(2.0**31)), number.try_cast("int"))
 
 
-def parse_timestamp(c: Column) -> Column:
+def timestamp_of(text: Column) -> Column:
     """ISO date or date-time text without zone (minutes, seconds or fractions of them); impossible days and
     other forms are NULL.
 
     With the separators in place and a digit at the end, the cast itself rejects whatever else is wrong;
     only text with a fraction needs a pattern.
     """
-    text = strip(c)
     size = F.length(text)
     dated = (_char(text, 5) == "-") & (_char(text, 8) == "-") & _ends_in_digit(text)
     timed = _char(text, 11).isin(" ", "T") & (_char(text, 14) == ":")

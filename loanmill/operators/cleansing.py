@@ -23,11 +23,20 @@ def blank_to_null(df: DataFrame) -> DataFrame:
 
 
 def parse_types(df: DataFrame) -> DataFrame:
-    """Type the numeric and timestamp columns; text that does not parse becomes NULL."""
-    parsers = dict.fromkeys(schemas.MONEY_AND_RATIO_COLUMNS, X.parse_number)
-    parsers["loan_term_months"] = X.parse_integer
-    parsers |= dict.fromkeys(schemas.TIMESTAMP_COLUMNS, X.parse_timestamp)
-    return df.select(*[parsers[c](F.col(c)).alias(c) if c in parsers else F.col(c) for c in df.columns])
+    """Type the numeric and timestamp columns; text that does not parse becomes NULL.
+
+    Text is stripped in a projection of its own, so each parser works on a plain column.
+    """
+    money = schemas.MONEY_AND_RATIO_COLUMNS
+    plain = ("loan_term_months", *schemas.TIMESTAMP_COLUMNS)
+    stripped = df.withColumns({
+        **{c: X.strip(X.undecorated(F.col(c))) for c in money}, **{c: X.strip(F.col(c)) for c in plain}
+    })
+    return stripped.withColumns({
+        **{c: X.number_of(F.col(c)) for c in money},
+        "loan_term_months": X.integer_of(F.col("loan_term_months")),
+        **{c: X.timestamp_of(F.col(c)) for c in schemas.TIMESTAMP_COLUMNS},
+    })
 
 
 def normalize_categoricals(df: DataFrame, rules: Rules) -> DataFrame:

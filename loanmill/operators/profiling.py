@@ -44,10 +44,13 @@ def profile(
     place, value, n = F.col("position"), F.col("value"), F.col("n")
     is_numeric = place.isin([i for i, c in enumerate(columns) if c in numeric])
     is_date = place.isin([i for i, c in enumerate(columns) if c in dates])
+    text = F.col("text")
     parsed = value_counts(bronze, columns).select(
         place, n, value.isNotNull().alias("present"), X.is_blank(value).alias("blank"),
-        F.when(is_numeric, X.parse_number(value)).alias("number"),
-        F.when(is_date, X.parse_timestamp(value)).alias("moment"),
+        F.when(is_numeric, X.strip(X.undecorated(value))).when(is_date, X.strip(value)).alias("text"),
+    ).select(
+        place, n, "present", "blank",
+        F.when(is_numeric, X.number_of(text)).alias("number"), F.when(is_date, X.timestamp_of(text)).alias("moment"),
     )
     number, moment = F.col("number"), F.col("moment")
     missing = F.sum(F.when(F.col("blank"), n).otherwise(0))
