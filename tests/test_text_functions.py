@@ -65,13 +65,13 @@ def test_timestamps(spark):
     assert _apply(spark, X.parse_timestamp, STAMPS, "timestamp_ntz") == [stamp(v) for v in STAMPS]
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.text(alphabet="0123456789+-.eExXpdDfF nifNa,$", max_size=8), min_size=20, max_size=60))
 def test_numbers_of_any_shape(spark, values):
     assert _apply(spark, X.parse_number, values, "double") == [number(v) for v in values]
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.from_regex(r"20[0-9]{2}[-/][0-9]{1,2}-[0-3][0-9]([ T:][0-9]{2}:[0-9:.+Z-]{0,9})?", fullmatch=True), min_size=20, max_size=60))
 def test_timestamps_of_many_shapes(spark, values):
     assert _apply(spark, X.parse_timestamp, values, "timestamp_ntz") == [stamp(v) for v in values]
