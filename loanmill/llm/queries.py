@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
-from loanmill.llm import near_dedup
+from loanmill.llm import decontaminate, near_dedup, quality_rules
 
 QUERIES = {
+    "op4_decontamination": decontaminate.op4_decontamination,
     "op6_near_dedup": near_dedup.op6_near_dedup,
+    "op8_quality_rules": quality_rules.op8_quality_rules,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_SHINGLES = r"""list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"""
+
 ORACLE = {
+    "op4_decontamination": rf"""
+WITH items AS (
+    SELECT item_id, len(s) AS n, unnest(s) AS g FROM (SELECT item_id, {_SHINGLES} AS s FROM
+        (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark))
+), docs AS (
+    SELECT doc_id, unnest({_SHINGLES}) AS g FROM
+        (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents)
+)
+SELECT doc_id, item_id, n::BIGINT AS n_item_shingles, count(*) AS n_shared, count(*)::DOUBLE / n AS containment
+FROM docs JOIN items USING (g) GROUP BY doc_id, item_id, n HAVING 10 * count(*) >= 8 * n
+""",
     "op6_near_dedup": rf"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
 ), sets AS (
     SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-        ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))) END AS s
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
     FROM words
 ), shingles AS (
     SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
