@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from loanmill.llm import decontaminate, near_dedup, quality_rules
+from loanmill.llm import decontaminate, lm_scoring, near_dedup, quality_rules
 
 QUERIES = {
     "op4_decontamination": decontaminate.op4_decontamination,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op10_lm_scoring": lm_scoring.op10_lm_scoring,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
