@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from loanmill.llm import decontaminate, lm_scoring, near_dedup, quality_rules
+from loanmill.llm import decontaminate, lm_scoring, near_dedup, packing, quality_rules
 
 QUERIES = {
+    "op2_packing": packing.op2_packing,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op8_quality_rules": quality_rules.op8_quality_rules,
