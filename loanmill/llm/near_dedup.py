@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmill.llm import textbatch as tb
@@ -22,10 +22,10 @@ from loanmill.llm.components import components
 # Minhashes in a half key, and the chance that a pair right at the threshold shares no half key of a collection.
 HALF_ROWS = 3
 MISS = 1e-4
-# Members of a table key that are compared with each other in one task; larger groups are cut into blocks.
-MEMBER_BLOCK = 128
-# Part of the minhashes that must agree before a pair of a key with several components is verified, below
-# the threshold: four standard deviations.
+# Members of a half key, and their shingles, in a block; two blocks are compared in one task.
+MEMBER_BLOCK = 1024
+SHINGLE_BLOCK = 1 << 20
+# A pair is verified if its minhashes agree as often as the threshold asks, less this many standard deviations.
 SIGNATURE_SLACK = 4.0
 
 
@@ -48,6 +48,14 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+def _sorted(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Each set's hashes as signed numbers in ascending order."""
+    out = _signed(values).copy()
+    for a, b in zip(begins[:-1], begins[1:]):
+        out[a:b].sort()
+    return out
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, n: int, t: int) -> DataFrame:
     """(`id`, `n`, `fp`, `halves`, `signature`) per row: set size, 128-bit set fingerprint, the 2 * t half keys and
     one byte of every minhash. A text without words has n = 0 and no fingerprint."""
@@ -96,7 +104,7 @@ def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, n: int, wanted: D
         for batch, texts in tb.blocks(batches, "text"):
             values, begins = _distinct(*_shingles(texts, n))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("fp"), tb.list_column(_signed(values), begins, pa.int64())], ["fp", "shingles"]
+                [batch.column("fp"), tb.list_column(_sorted(values, begins), begins, pa.int64())], ["fp", "shingles"]
             )
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -113,11 +121,10 @@ def near_duplicates(
     Components of links share the smallest id as `component_id`; the row of that id is kept.
 
     1. Equal sets become one node, so copies never meet as pairs.
-    2. Half keys that only one node has are dropped; the others are combined into table keys. Each member of a
-       key is paired with the key's smallest node, pairs are verified on whole sets, and components are formed.
-    3. Keys that still hold several components may hide a link between two members that are not
-       the smallest. There all members of different components are compared, in blocks, by signature, and what passes is
-       verified too. No key is capped.
+    2. Half keys that only one node has are dropped; the others are combined into table keys.
+    3. Each key pairs one member with the others. Pairs are verified on whole sets and components are formed.
+    4. Keys that still hold several components may hide a link. Their members are compared, in blocks of bounded size,
+       until all that a link joins are joined. No key is capped.
 
     Defined cases: NULL, empty and wordless texts have no shingles, are linked with nothing and keep their own id.
     Texts shorter than a shingle have their word sequence as one shingle. Rows of equal id and text get equal
@@ -133,18 +140,7 @@ def near_duplicates(
         ),
         "nodes",
     )
-    keys = _table_keys(nodes, t)
-    leaders = keys.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("last")).filter("a <> last")
-    pairs = staged(
-        keys.join(leaders.select("key", "a"), "key").filter("a <> fp").select("a", F.col("fp").alias("b")).distinct(), "pairs"
-    )
-    links = _verified(docs, id_col, text_col, shingle, percent, nodes, pairs)
-    rooted = staged(components(links), "rooted")
-    hidden = staged(_hidden_pairs(keys, nodes, rooted, percent), "hidden-pairs")
-    more = _verified(docs, id_col, text_col, shingle, percent, nodes, hidden)
-    if not more.isEmpty():
-        rooted = staged(components(links.unionAll(more)), "rooted")
-
+    rooted = _linked(docs, id_col, text_col, shingle, percent, nodes, _table_keys(nodes, t))
     members = sketch.select(F.col("id"), "n", "fp").join(rooted.withColumnRenamed("node", "fp"), "fp", "left")
     members = staged(members.select("id", "n", "fp", F.coalesce("root", "fp").alias("root")), "members")
     # Most components are one node; the smallest id of each is a grouped minimum, combined before the shuffle.
@@ -157,6 +153,25 @@ def near_duplicates(
     )
 
 
+def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, nodes: DataFrame, keys: DataFrame) -> DataFrame:
+    """(`node`, `root`) of all nodes that have a link."""
+    crowded = keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high")
+    open_ = staged(keys.join(crowded.select("key"), "key"), "crowded-keys")
+    wanted = nodes.select("fp", "id").join(open_.select("fp").distinct(), "fp")
+    sets = _shingle_sets(docs, id_col, text_col, shingle, wanted)
+    leader = F.min(F.struct(F.xxhash64("fp"), "fp"))
+    leaders = open_.groupBy("key").agg(leader.alias("leader"))
+    led = open_.join(leaders, "key").filter(F.col("fp") != F.col("leader.fp"))
+    pairs = led.select(F.least("fp", "leader.fp").alias("a"), F.greatest("fp", "leader.fp").alias("b")).distinct()
+    links = _verified(staged(pairs, "pairs"), nodes, sets, percent)
+    rooted = staged(components(links), "rooted")
+    hidden = staged(_hidden_links(open_, nodes, sets, rooted, percent), "hidden-links")
+    if hidden.isEmpty():
+        return rooted
+    known = rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return staged(components(known.unionAll(hidden)), "rooted")
+
+
 def _table_keys(nodes: DataFrame, t: int) -> DataFrame:
     """(`key`, `fp`): all pairs of a half key of the first and one of the second collection. A half key
     that no other node has can't lead to a partner and is left out before the pairs are formed."""
@@ -172,18 +187,28 @@ def _table_keys(nodes: DataFrame, t: int) -> DataFrame:
     return staged(both.select(F.xxhash64("one", "two").alias("key"), "fp"), "table-keys")
 
 
-def _verified(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (`a`, `b`) whose full shingle sets reach the threshold."""
-    if pairs.isEmpty():
-        return pairs
-    sizes = nodes.select("fp", "n", "id")
-    sized = pairs.join(sizes.select(F.col("fp").alias("a"), F.col("n").alias("n_a")), "a").join(
-        sizes.select(F.col("fp").alias("b"), F.col("n").alias("n_b")), "b"
-    ).filter(F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
-    fit = staged(sized, "sized-pairs")
-    wanted = sizes.join(fit.select(F.col("a").alias("fp")).unionAll(fit.select("b")).distinct(), "fp")
-    sets = _shingle_sets(docs, id_col, text_col, n, wanted)
-    held = fit.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("of_a")), "a").join(
+def _least_agreement(percent: int, hashes: int) -> float:
+    share = percent / 100
+    return share - SIGNATURE_SLACK * math.sqrt(share * (1 - share) / hashes)
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (`a`, `b`) whose full shingle sets reach the threshold; sizes and signatures rule out most others first."""
+    one = nodes.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("s_a"))
+    two = nodes.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("s_b"))
+    sized = pairs.join(one, "a").join(two, "b").filter(
+        F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
+    )
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (tb.texts_of(batch.column(c)).data.reshape(batch.num_rows, -1) for c in ("s_a", "s_b"))
+                close = (a == b).mean(axis=1) >= _least_agreement(percent, a.shape[1])
+                yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(close))
+
+    close = staged(in_batches(sized, agreeing, "a binary, b binary, n_a bigint, n_b bigint"), "close-pairs")
+    held = close.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("of_a")), "a").join(
         sets.select(F.col("fp").alias("b"), F.col("shingles").alias("of_b")), "b"
     )
     common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
@@ -191,40 +216,69 @@ def _verified(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int,
     return staged(held.filter(F.lit(100) * common >= F.lit(percent) * union).select("a", "b"), "verified")
 
 
-def _hidden_pairs(keys: DataFrame, nodes: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one key and different components whose sizes and signatures allow a link."""
-    placed = keys.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    mixed = placed.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members")
-    ).filter("low <> high").select("key", F.ceil(F.col("members") / MEMBER_BLOCK).cast("int").alias("blocks"))
-    # Member i is in block h(i); block pair (x, y), x <= y, is one group, and a member goes to the groups of its block.
-    member = placed.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+def _hidden_links(crowded: DataFrame, nodes: DataFrame, sets: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share a table key, enough of them to join what belongs together.
+
+    The members of such keys meet by each half key of the first collection, in blocks; a pair that shares several is
+    compared at the first. Within a task, members that a link has joined are not compared again, so no more
+    links come out than there are members.
+    """
+    placed = crowded.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    members = placed.join(mixed.select("key"), "key").groupBy("fp").agg(F.first("root").alias("root"))
+    joined = members.join(nodes.select("fp", "n", "halves", "signature"), "fp")
+    t = F.size("halves") / 2
+    at_half = staged(
+        joined.select("*", F.posexplode(F.slice("halves", F.lit(1), t.cast("int"))).alias("place", "half")).drop("halves"), "members-by-half"
+    )
+    halves = joined.select("fp", "halves")
+    sizes = at_half.groupBy("place", "half").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("weight"), F.min("root").alias("low"), F.max("root").alias("high")
+    ).filter("low <> high")
+    blocks = F.greatest(F.ceil(F.col("members") / MEMBER_BLOCK), F.ceil(F.col("weight") / SHINGLE_BLOCK)).cast("int")
+    # A member is in block h(fp); each two blocks of a half key are one group, and a member goes to the groups of its block.
+    member = at_half.join(sizes.select("place", "half", blocks.alias("blocks")), ["place", "half"])
+    member = member.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     cells = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "fp", "root"
+        "place", "half", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "fp", "root", "n", "signature"
     )
-    full = cells.join(nodes.select("fp", "n", "signature"), "fp")
+    full = cells.join(halves, "fp").join(sets, "fp")
 
     def compare(group: pa.Table) -> pa.Table:
-        own = group["own"].to_numpy()
-        x, y = group["x"][0].as_py(), group["y"][0].as_py()
-        left = np.flatnonzero(own == x)
-        right = np.flatnonzero(own == y)
-        fps, sizes = group["fp"].to_pylist(), group["n"].to_numpy()
-        roots = group["root"].combine_chunks().dictionary_encode()
-        roots = (roots.combine_chunks() if isinstance(roots, pa.ChunkedArray) else roots).indices.to_numpy()
-        marks = np.array([np.frombuffer(s, np.uint8) for s in group["signature"].to_pylist()])
-        share = percent / 100
-        least = share - SIGNATURE_SLACK * math.sqrt(share * (1 - share) / marks.shape[1])
-        found = []
+        x, y, place = (group[c][0].as_py() for c in ("x", "y", "place"))
+        own, size = group["own"].to_numpy(), group["n"].to_numpy()
+        fps, component = group["fp"].to_pylist(), np.unique(np.array(group["root"].to_pylist(), object), return_inverse=True)[1]
+        half = group["halves"].combine_chunks().flatten().to_numpy().reshape(group.num_rows, -1)
+        half = half[:, : half.shape[1] // 2]
+        marks = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(group.num_rows, -1)
+        lists = group["shingles"].combine_chunks()
+        values, begin = lists.values.to_numpy(), lists.offsets.to_numpy()
+        least = _least_agreement(percent, marks.shape[1])
+        left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        found: list[tuple[bytes, bytes]] = []
         for i in left:
             others = right[right > i] if x == y else right
-            small, large = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
-            others = others[(roots[others] != roots[i]) & (100 * small >= percent * large)]
-            close = others[(marks[others] == marks[i]).mean(axis=1) >= least] if len(others) else others
-            found += [(min(fps[i], fps[j]), max(fps[i], fps[j])) for j in close]
+            small, large = np.minimum(size[i], size[others]), np.maximum(size[i], size[others])
+            others = others[(component[others] != component[i]) & (100 * small >= percent * large)]
+            agree = (marks[others] == marks[i]).mean(axis=1)
+            first = (half[others] == half[i]).argmax(axis=1) == place
+            some = first & (agree >= least)
+            others = others[some][np.argsort(-agree[some], kind="stable")]
+            mine = values[begin[i] : begin[i + 1]]
+            while len(others):
+                now, others = others[:32], others[32:]
+                theirs = np.concatenate([values[begin[j] : begin[j + 1]] for j in now])
+                ends = np.cumsum(size[now])
+                held = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+                common = np.diff(np.concatenate([[0], np.cumsum(held)])[np.concatenate([[0], ends])])
+                for j in now[100 * common >= percent * (size[i] + size[now] - common)]:
+                    if component[j] != component[i]:
+                        component[component == component[j]] = component[i]
+                        found.append((fps[i], fps[j]))
+                others = others[component[others] != component[i]]
         return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
 
-    return full.groupBy("key", "x", "y").applyInArrow(compare, "a binary, b binary").distinct()
+    return full.groupBy("place", "half", "x", "y").applyInArrow(compare, "a binary, b binary")
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
