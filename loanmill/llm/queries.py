@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from loanmill.llm import decontaminate, lm_scoring, near_dedup, packing, quality_rules
+from loanmill.llm import decontaminate, lm_scoring, near_dedup, packing, quality_rules, toxicity
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op4_decontamination": decontaminate.op4_decontamination,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
