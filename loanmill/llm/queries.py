@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loanmill.llm import decontaminate, lm_scoring, near_dedup, packing, quality_rules, toxicity
+from loanmill.llm import chat_format, decontaminate, lm_scoring, near_dedup, packing, quality_rules, toxicity
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op9_chat_format": chat_format.op9_chat_format,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
 }
 
@@ -28,6 +29,24 @@ WITH items AS (
 )
 SELECT doc_id, item_id, n::BIGINT AS n_item_shingles, count(*) AS n_shared, count(*)::DOUBLE / n AS containment
 FROM docs JOIN items USING (g) GROUP BY doc_id, item_id, n HAVING 10 * count(*) >= 8 * n
+""",
+    "op9_chat_format": r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), marked AS (
+    -- Escaping adds a backslash for every string that reads as a mark.
+    SELECT *, sha256(role || chr(10) || text) AS place, length(text)
+        + len(regexp_extract_all(text, '<s>|\[/?INST\]|\[OUT\]|</s>|\[/?ROLE\]|\[/TURN\]'))
+        + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 11 ELSE 22 + length(role)
+            + len(regexp_extract_all(role, '<s>|\[/?INST\]|\[OUT\]|</s>|\[/?ROLE\]|\[/TURN\]')) END AS size
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, place)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    (3 + sum(size))::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
 """,
     "op6_near_dedup": rf"""
 WITH RECURSIVE words AS (
