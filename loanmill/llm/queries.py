@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from loanmill.llm import chat_format, decontaminate, lm_scoring, near_dedup, packing, quality_rules, toxicity
+from loanmill.llm import chat_format, decontaminate, lm_scoring, near_dedup, packing, quality_rules, sharding, toxicity
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_near_dedup": near_dedup.op6_near_dedup,
+    "op7_sharding": sharding.op7_sharding,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
