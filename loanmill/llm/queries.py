@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from loanmill.llm import chat_format, decontaminate, lm_scoring, near_dedup, packing, quality_rules, sharding, toxicity
+from loanmill.llm import chat_format, decontaminate, license_scan, lm_scoring, near_dedup, packing, quality_rules, sharding, toxicity
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
+    "op3_license_scan": license_scan.op3_license_scan,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_near_dedup": near_dedup.op6_near_dedup,
