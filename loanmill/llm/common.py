@@ -34,5 +34,16 @@ def fold(doc_id: Column | str, folds: int = 5) -> Column:
 def row_key(doc_id: str, text: Column) -> Column:
     """Stands for a row in joins: equal for rows of equal id and text (whose results are equal too), never NULL."""
     return F.concat_ws(
-        ":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.hex(F.xxhash64(text)), F.length(text).cast("string")
+        ":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.hex(F.xxhash64(text)), F.coalesce(F.length(text), F.lit(-1)).cast("string")
     )
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names with underscores put before them until `df` has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmill.llm import textbatch as tb
-from loanmill.llm.common import in_batches, staged
+from loanmill.llm.common import in_batches, row_key, staged
 from loanmill.llm.components import components
 
 # Minhashes in a half key, and the chance that a pair right at the threshold shares no half key of a collection.
@@ -281,6 +281,23 @@ def _hidden_links(crowded: DataFrame, nodes: DataFrame, sets: DataFrame, rooted:
     return full.groupBy("place", "half", "x", "y").applyInArrow(compare, "a binary, b binary")
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """`docs` less all but one row of each group of near duplicates: the one of smallest id, rows without id last. All columns
+    stay. Of rows that repeat the same id and text one stays too, unless the text has no words."""
+    key = row_key(id_col, F.col(text_col))
+    named = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), key.alias("row")).alias("_id")
+    found = near_duplicates(docs.select(named, F.col(text_col).alias("text")), "_id", "text", shingle, percent)
+    judged = staged(found.filter("n_shingles > 0").groupBy(F.col("_id.row").alias("row")).agg(
+        F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("rows")
+    ).filter("not kept or rows > 1"), "judged")
+    gone, repeated = judged.filter("not kept").select("row"), judged.filter("kept").select("row")
+    left = docs.join(gone, key == gone["row"], "left_anti")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, key == repeated["row"], "left_semi").dropDuplicates([id_col, text_col])
+    return left.join(repeated, key == repeated["row"], "left_anti").unionByName(once)
+
+
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, similarity 0.85."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from loanmill.llm import chat_format, decontaminate, license_scan, lm_scoring, near_dedup, packing, quality_rules, sharding, toxicity
+from loanmill.llm import chat_format, decontaminate, license_scan, lm_scoring, near_dedup, packing, pii, quality_rules, sharding, toxicity
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_packing": packing.op2_packing,
     "op3_license_scan": license_scan.op3_license_scan,
     "op4_decontamination": decontaminate.op4_decontamination,
