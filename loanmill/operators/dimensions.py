@@ -115,15 +115,6 @@ def _as_rows(d: Dimension, numbered: DataFrame) -> DataFrame:
     return numbered.filter(F.col("dim") == d.table).select(F.col("key").alias(d.key), *parts)
 
 
-def upsert_dim(existing: DataFrame, incoming: DataFrame, d: Dimension) -> DataFrame:
-    """`existing` plus a new dense key for every natural key of `incoming` it lacks; nothing is deleted."""
-    keys = incoming.select(_natural_struct(d, d.natural).alias("k")).filter("k IS NOT NULL").select("k.*").distinct()
-    known = existing.select(_natural_struct(d, d.natural).alias("k")).select("k.*")
-    fresh = keys.join(known, _same_key(keys, known), "left_anti")
-    base = existing.agg(F.coalesce(F.max(d.key), F.lit(0))).first()[0]
-    return existing.unionByName(_as_rows(d, number_keys(fresh, {d.table: base})), allowMissingColumns=True)
-
-
 def _same_key(a: DataFrame, b: DataFrame) -> Column:
     return (a["dim"] == b["dim"]) & (a["k1"] == b["k1"]) & a["k2"].eqNullSafe(b["k2"])
 
@@ -142,11 +133,24 @@ def overwrite_attributes(dim: DataFrame, attributes: DataFrame) -> DataFrame:
     )
 
 
+def _refresh_calendar(warehouse: Warehouse, silver: DataFrame, rules: Rules) -> None:
+    """The stored calendar holds the days of the rules, of earlier loads, and all that Silver now spans."""
+    day = F.col("application_date").cast("date")
+    first, last = silver.agg(F.min(day), F.max(day)).first()
+    start, end = rules.calendar_start, rules.calendar_end
+    if warehouse.has("dim_date"):
+        start, known_last = warehouse.read("dim_date").agg(F.min("full_date"), F.max("full_date")).first()
+        end = known_last + timedelta(days=1)
+        if first is None or (start <= first and last < end):
+            return
+    if first is not None:
+        start, end = min(start, first), max(end, last + timedelta(days=1))
+    warehouse.write("dim_date", dim_date(warehouse.spark, start, end))
+
+
 def refresh_dims(warehouse: Warehouse, silver: DataFrame, rules: Rules) -> dict[str, DataFrame]:
     """Bring all five dimensions up to date with Silver and return them."""
-    spark = warehouse.spark
-    if not warehouse.has("dim_date"):
-        warehouse.write("dim_date", dim_date(spark, rules.calendar_start, rules.calendar_end))
+    _refresh_calendar(warehouse, silver, rules)
     attributes = written(latest_attributes(silver), "applicant-attributes")
     incoming = attributes.select(
         F.lit(APPLICANT.table).alias("dim"), F.col("applicant_id").alias("k1"), F.lit(None).cast("string").alias("k2")

@@ -83,7 +83,7 @@ def load_gold(
             .select(*schemas.FACT_COLUMNS, MONTH, "change_type", "old_month")
         )
         if first_load:
-            warehouse.replace_months(changed.hint("rebalance", MONTH).drop("change_type", "old_month"))
+            warehouse.replace_months(None, changed.hint("rebalance", MONTH).drop("change_type", "old_month"))
             counts.rows_new = warehouse.fact().count()
         else:
             path = warehouse.scratch("changed")
@@ -110,11 +110,4 @@ def _merge_months(warehouse: Warehouse, staged: DataFrame) -> None:
     months = [row["m"] for row in touched.collect()]  # calendar months, bounded by the calendar
     stored = warehouse.fact(with_month=True).filter(F.col(MONTH).isin(months))
     merged = upsert(stored, staged)
-    path = warehouse.scratch("months")
-    merged.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(path)
-    rewritten = warehouse.spark.read.schema(merged.schema).parquet(path)
-    warehouse.replace_months(rewritten)
-    filled = {row[MONTH] for row in rewritten.select(MONTH).distinct().collect()}
-    for month in set(months) - filled:
-        warehouse.drop_month(month)
-    files.delete(warehouse.spark, path)
+    warehouse.replace_months(months, merged.hint("rebalance", MONTH))

@@ -6,9 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,14 +24,12 @@ SCORE_DIGITS = 9
 
 
 def fit_encoder(df: DataFrame, text_col: str = "text", features: int = 512) -> PipelineModel:
-    """Default encoder: hashed term counts, weighted by inverse document frequency, unit length."""
-    stages = [
-        RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=r"\W+"),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0),
-    ]
-    return Pipeline(stages=stages).fit(df)
+    """Default encoder: hashed counts of Unicode words, weighted by one plus the inverse document frequency, unit length."""
+    words = RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=r"(?U)\W+")
+    counts = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features)
+    rarity = IDF(inputCol="_tf", outputCol="_tfidf").fit(counts.transform(words.transform(df))).idf
+    weigh = ElementwiseProduct(inputCol="_tf", outputCol="_tfidf", scalingVec=Vectors.dense(rarity.toArray() + 1.0))
+    return PipelineModel([words, counts, weigh, Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0)])
 
 
 def embed(df: DataFrame, encoder, text_col: str = "text") -> DataFrame:

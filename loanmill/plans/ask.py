@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmill.operators import answers, chunking, vectors
-from loanmill.rules import Rules
+from loanmill.rules import NOT_FOUND, Rules
 from loanmill.session import written
 
 
@@ -26,9 +26,11 @@ def split_questions(questions: DataFrame, rules: Rules = Rules()) -> tuple[DataF
 
 
 def ask(questions: DataFrame, index: DataFrame, encoder, rules: Rules = Rules()) -> DataFrame:
-    """Answers to the askable rows of (`question_id`, `question`, …), other columns kept.
+    """One answer per row of (`question_id`, `question`, …), other columns kept.
 
-    Both sides are encoded once, searched exactly, and only the winning chunks' texts are fetched.
+    Both sides are encoded once, searched exactly, and only the winning chunks' texts are fetched. A question that is too
+    short or too long is not asked, but answered as not found, with `refusal_reason`; so is one without any passage,
+    which has no reason.
     """
     askable, _ = split_questions(questions, rules)
     asked = vectors.embed(askable.select("question_id", F.col("question").alias("text")), encoder)
@@ -36,7 +38,16 @@ def ask(questions: DataFrame, index: DataFrame, encoder, rules: Rules = Rules())
     found = vectors.top_k(asked.select("question_id", "embedding"), index.select(key, "embedding"), rules.top_k)
     passages = found.withColumnRenamed("chunk_id", "chunk_key").join(index.drop("embedding"), "chunk_key")
     composed = answers.compose(passages, rules.min_score, rules.max_passages)
-    return askable.join(composed, "question_id", "left")
+    low, high = rules.question_chars
+    fits = F.coalesce(F.length("question").between(low, high), F.lit(False))
+    found = questions.join(composed, "question_id", "left")
+    empty = {name: F.array().cast(composed.schema[name].dataType) for name in ("citations", "retrieved_passages")}
+    return found.withColumns({
+        "answer": F.coalesce("answer", F.lit(NOT_FOUND)),
+        "is_answerable": F.coalesce("is_answerable", F.lit(False)),
+        **{name: F.coalesce(name, none) for name, none in empty.items()},
+        "refusal_reason": F.when(~fits, F.lit(f"a question has {low} to {high} characters")),
+    })
 
 
 def evaluate(questions: DataFrame, index: DataFrame, encoder, rules: Rules = Rules()) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,8 +73,22 @@ def _json_columns(spark: SparkSession, source: Source, path: str) -> set[str]:
     return set(reader.json(path).columns)
 
 
-def _lineage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c) for c in columns], F.col("_metadata.file_name").alias("_source_file"))
+def depth(pattern: str) -> int:
+    """Parts of a matching path from the first folder with a wildcard on: a glob matches as many folders as it has."""
+    parts = pattern.split("/")
+    return len(parts) - next((k for k, part in enumerate(parts) if any(c in part for c in "*?[{")), len(parts) - 1)
+
+
+def relative_name(path: str, pattern: str) -> str:
+    """What tells a file from the others of its source: its path below the fixed folders of the pattern."""
+    return "/".join(path.rstrip("/").split("/")[-depth(pattern):])
+
+
+def _lineage(df: DataFrame, columns: Sequence[str], pattern: str) -> DataFrame:
+    """The columns, and the file's `relative_name`."""
+    decoded = lambda x: F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B")))
+    parts = F.transform(F.slice(F.split("_metadata.file_path", "/"), -depth(pattern), depth(pattern)), decoded)
+    return df.select(*[F.col(c) for c in columns], F.array_join(parts, "/").alias("_source_file"))
 
 
 def _read_csv(spark: SparkSession, source: Source, paths: list[str]) -> DataFrame | None:
@@ -98,7 +112,7 @@ def _read_csv(spark: SparkSession, source: Source, paths: list[str]) -> DataFram
             .csv(group)
         )
         # An empty CSV cell is an empty string, not a missing value; Spark reads it as NULL.
-        cells = _lineage(raw, schemas.SOURCE_COLUMNS)
+        cells = _lineage(raw, schemas.SOURCE_COLUMNS, source.pattern)
         frames.append(cells.select(*[
             F.coalesce(F.col(c), F.lit("")).alias(c) for c in schemas.SOURCE_COLUMNS
         ], "_source_file"))
@@ -120,7 +134,7 @@ def _read_json(spark: SparkSession, source: Source, paths: list[str]) -> DataFra
         .option("multiLine", not source.one_record_per_line)
         .json(accepted)
     )
-    return _lineage(raw, schemas.SOURCE_COLUMNS)
+    return _lineage(raw, schemas.SOURCE_COLUMNS, source.pattern)
 
 
 READERS = {"csv": _read_csv, "json": _read_json}
@@ -144,7 +158,10 @@ def read_sources(spark: SparkSession, sources: Sequence[Source]) -> tuple[DataFr
         if not paths:
             log.warning("no files for source %s", source.name)
             continue
-        names += [files.name_of(p) for p in paths]
+        own = [relative_name(p, source.pattern) for p in paths]
+        if clash := set(own) & set(names):
+            raise ValueError(f"two sources have files of one name: {sorted(clash)}")
+        names += own
         frames.append(READERS[source.format](spark, source, paths))
     return _union(frames), names
 
@@ -179,8 +196,11 @@ class Landing:
         """Write rows (source columns and `_source_file`), replacing what those files held before.
 
         `file_names` lists every file of the run: a partition one of them no longer fills is dropped,
-        which a dynamic overwrite alone would leave in place.
+        which a dynamic overwrite alone would leave in place. A load that is tried again with the same time first
+        drops what the earlier try wrote, so that nothing of it passes for fresh.
         """
+        if file_names and files.exists(self.spark, self.path):
+            self._drop_where(file_names, F.max(F.col("_ingestion_timestamp") == N.moment(ingested_at)))
         stamped = mark_malformed(rows).withColumn("_ingestion_timestamp", N.moment(ingested_at))
         (
             stamped.write.mode("overwrite")
@@ -190,12 +210,12 @@ class Landing:
         )
         if not file_names:
             return
-        fresh = F.col("_ingestion_timestamp") == N.moment(ingested_at)
-        stale = (
-            self._rows().filter(F.col("_source_file").isin(list(file_names)))
-            .groupBy("_quarantined", "_source_file").agg(F.max(fresh).alias("fresh")).filter("NOT fresh")
-        )
-        for row in stale.collect():  # at most two rows per file of the run
+        self._drop_where(file_names, ~F.max(F.col("_ingestion_timestamp") == N.moment(ingested_at)))
+
+    def _drop_where(self, file_names: Sequence[str], condition: Column) -> None:
+        of_run = self._rows().filter(F.col("_source_file").isin(list(file_names)))
+        found = of_run.groupBy("_quarantined", "_source_file").agg(condition.alias("drop")).filter("drop")
+        for row in found.collect():  # at most two rows per file of the run
             self._drop(row["_quarantined"], row["_source_file"])
 
     def _drop(self, quarantined: bool, file_name: str) -> None:

@@ -41,7 +41,11 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return head(spark, path, 1 << 20).decode("utf-8")
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

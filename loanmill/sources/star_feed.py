@@ -114,7 +114,3 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.when(at(67, 0), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy"),
     )
     return rows.select(*schemas.SOURCE_COLUMNS, "_source_file")
-
-
-def ingestion_time() -> Column:
-    return F.when(F.col("_source_file") == CSV_FILE, moment(CSV_TIME)).otherwise(moment(JSON_TIME))

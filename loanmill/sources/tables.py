@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,13 @@ from loanmill import schemas
 from loanmill.sources import files
 
 MONTH = "application_month"
+VERSION = "version"
 
 
 class Warehouse:
     """Silver, dimensions and logs are full rewrites into a new folder, published by a one-line pointer
     file, so a reader never sees half a table and a job may read the table it replaces. The fact table
-    is partitioned by month and only the months a load touches are rewritten."""
+    is partitioned by month and only the months a load touches are rewritten; its pointer names the version of each month."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -63,28 +65,43 @@ class Warehouse:
         return f"{self.root}/fact_loan_application"
 
     def has_fact(self) -> bool:
-        return files.exists(self.spark, self.fact_path)
+        return self.has("fact_loan_application")
+
+    def _fact_months(self) -> dict[str, str]:
+        """Which version holds each month."""
+        return json.loads(files.read_text(self.spark, self._pointer("fact_loan_application"))) if self.has_fact() else {}
 
     def fact(self, with_month: bool = False) -> DataFrame:
         if not self.has_fact():
             raise FileNotFoundError(f"the fact table does not exist yet under {self.root}")
         # The month is given as text: left to inference it could turn into a date.
-        schema = T.StructType([*schemas.FACT_SCHEMA.fields, T.StructField(MONTH, T.StringType())])
-        df = self.spark.read.schema(schema).parquet(self.fact_path)
+        schema = T.StructType([*schemas.FACT_SCHEMA.fields, T.StructField(VERSION, T.StringType()), T.StructField(MONTH, T.StringType())])
+        paths = [self._month_path(version, month) for month, version in sorted(self._fact_months().items())]
+        if paths:
+            df = self.spark.read.schema(schema).option("basePath", self.fact_path).parquet(*paths)
+        else:
+            df = self.spark.createDataFrame([], schema)
         return df.select(*schemas.FACT_COLUMNS, *([MONTH] if with_month else []))
 
-    def replace_months(self, staged: DataFrame) -> None:
-        """Swap in the staged months. `staged` lives in its own folder, so a run that dies during the swap
-        can be repeated from it."""
-        (
-            staged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH)
-            .parquet(self.fact_path)
-        )
-
-    def drop_month(self, month: str) -> None:
-        files.delete(self.spark, f"{self.fact_path}/{MONTH}={month}")
+    def _month_path(self, version: str, month: str) -> str:
+        return f"{self.fact_path}/{VERSION}={version}/{MONTH}={month}"
+
+    def replace_months(self, months: list[str] | None, rows: DataFrame) -> None:
+        """Let `rows` be all that the fact table has of `months` (of any month, if None).
+
+        The rows are written as a version of their own. Then the list that names the version of each month is replaced, in
+        one step: a reader, and a load that begins after a failed one, sees the months before or after the change, never some
+        of each. Replaced folders stay for readers of the previous state and go with the next change.
+        """
+        version, old = uuid.uuid4().hex, self._fact_months()
+        rows.write.partitionBy(MONTH).parquet(f"{self.fact_path}/{VERSION}={version}")
+        filled = [files.name_of(p).partition("=")[2] for p in files.glob(self.spark, f"{self.fact_path}/{VERSION}={version}/{MONTH}=*")]
+        new = {m: v for m, v in old.items() if months is not None and m not in months} | {m: version for m in filled}
+        files.write_text(self.spark, self._pointer("fact_loan_application"), json.dumps(new))
+        live = {(v, m) for held in (old, new) for m, v in held.items()}
+        for path in files.glob(self.spark, f"{self.fact_path}/{VERSION}=*/{MONTH}=*"):
+            if tuple(part.partition("=")[2] for part in path.split("/")[-2:]) not in live:
+                files.delete(self.spark, path)
 
 
 def month_of(column: str = "application_date"):

@@ -101,6 +101,23 @@ def test_loading_a_file_again_replaces_it(spark, tmp_path):
     assert landing.quarantine().count() == 0
 
 
+def test_files_of_one_name_in_two_folders_are_two_files(spark, tmp_path):
+    source, landing = Source("core", "csv", f"{tmp_path}/d*/core.csv"), Landing(spark, f"{tmp_path}/bronze")
+    for folder, key in (("d1", "A-1"), ("d2 +x", "A-2")):
+        write(tmp_path / folder, "core.csv", f"{HEADER}\n{ROW.replace('A-1', key)}\n")
+        names = ingest(spark, [source], landing, NOW)
+    assert names == ["d1/core.csv", "d2 +x/core.csv"]
+    assert {(r["application_id"], r["_source_file"]) for r in landing.bronze().collect()} == {("A-1", "d1/core.csv"), ("A-2", "d2 +x/core.csv")}
+
+
+def test_a_repeated_load_of_the_same_time_leaves_nothing_stale(spark, tmp_path):
+    landing = Landing(spark, f"{tmp_path}/bronze")
+    for row in (ROW, ROW.replace("A-1", " ", 1)):
+        write(tmp_path, "core.csv", f"{HEADER}\n{row}\n")
+        ingest(spark, [csv_source(tmp_path)], landing, NOW)
+    assert (landing.bronze().count(), landing.quarantine().count()) == (0, 1)
+
+
 def test_stream_lands_only_new_files(spark, tmp_path):
     raw, landing = tmp_path / "raw", Landing(spark, f"{tmp_path}/bronze")
     write(raw, "core_1.csv", f"{HEADER}\n{ROW}\n")

@@ -111,16 +111,27 @@ def test_ask_over_an_index_of_files(spark, tmp_path):
     assert [r["question_id"] for r in ask.split_questions(questions)[1].collect()] == ["3"]
     results = ask.evaluate(questions, index, encoder, rules)
     got = {r["id"]: r for r in results.collect()}
-    assert set(got) == {"1", "2"}
+    assert set(got) == {"1", "2", "3"}
+    refused = ask.ask(questions, index, encoder, rules).filter("question_id = '3'").first()
+    assert refused["refusal_reason"] and refused["answer"] == NOT_FOUND and not refused["is_answerable"]
     assert got["1"]["is_answerable_by_system"] and "twenty five months" in got["1"]["generated_answer"]
     assert got["1"]["citations"][0]["document_name"] == "Records"
     assert not got["2"]["is_answerable_by_system"]
     ask.write_results(results, f"{tmp_path}/results")
-    assert spark.read.json(f"{tmp_path}/results").count() == 2
+    assert spark.read.json(f"{tmp_path}/results").count() == 3
     rates = answers.answerable_rates(results.withColumnRenamed("is_answerable_by_system", "is_answerable"))
     assert {r["category"]: r["answered_pct"] for r in rates.collect()} == {"direct": 100.0, "none": 0.0}
 
 
+def test_nothing_retrieved_is_not_found(spark):
+    index, encoder = ask.build_index(spark.createDataFrame([("doc", "# T\n## S\nÜber Straße größe Привет")], "document string, text string"))
+    questions = spark.createDataFrame([("1", "straße größe"), ("2", None)], "question_id string, question string")
+    for row in ask.ask(questions, index.limit(0), encoder).collect():
+        assert (row["answer"], row["is_answerable"], row["citations"], row["retrieved_passages"]) == (NOT_FOUND, False, [], [])
+    # One chunk and words beyond ASCII: still found.
+    assert ask.ask(questions, index, encoder, Rules(min_score=0.2)).filter("question_id = '1'").first()["is_answerable"]
+
+
 def test_a_function_can_be_the_encoder(spark):
     def encoder(df):
         return df.withColumn("embedding", F.array(F.length("text").cast("float")))

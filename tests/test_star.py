@@ -9,7 +9,7 @@ from loanmill.operators import dimensions as D
 from loanmill.operators.incremental import load_gold
 from loanmill.plans import questions as Q
 from loanmill.plans.star import Star
-from loanmill.sources import audit
+from loanmill.sources import audit, files
 from loanmill.sources.tables import MONTH, Warehouse
 
 
@@ -88,10 +88,36 @@ def test_dimension_keys_stay_and_grow_densely(spark, warehouse, silver, rules):
     assert all(after[i]["applicant_key"] == key for i, key in before.items())
     assert (after["P-1"]["income_band"], after["P-35"]["income_band"], after["P-59"]["income_band"]) == ("50K-100K", "250K+", "250K+")
     assert sorted(r["lender_key"] for r in dims["dim_lender"].collect()) == list(range(1, 9))
-    grown = D.upsert_dim(dims["dim_lender"], spark.createDataFrame([("L-1",), ("new",), (None,)], "lender_name string"), D.LENDER)
+    third = silver({"application_id": "x", "lender": "L-1"}, {"application_id": "y", "lender": "new"}, {"application_id": "z", "lender": None})
+    grown = D.refresh_dims(warehouse, third, rules)["dim_lender"]
     assert grown.count() == 9 and grown.agg(F.max("lender_key")).first()[0] == 9
 
 
+def test_calendar_spans_all_of_silver(warehouse, silver, rules):
+    days = [datetime(2017, 12, 31), datetime(2024, 3, 15), datetime(2027, 1, 5)]
+    rows = silver(*[{"application_id": str(k), "application_date": day} for k, day in enumerate(days)])
+    assert load_gold(warehouse, rows, rules, "r1").rows_rejected == 0
+    star = Star.load(warehouse)
+    assert star.joined().count() == star.fact.count() == 3
+    load_gold(warehouse, silver({"application_id": "9", "application_date": datetime(2030, 5, 5)}), rules, "r2")
+    star = Star.load(warehouse)
+    assert star.joined().count() == 4 and star.dims["dim_date"].groupBy("date_key").count().filter("count > 1").isEmpty()
+
+
+def test_a_load_that_fails_changes_nothing_and_can_be_repeated(warehouse, silver, rules, monkeypatch):
+    at = lambda month, **more: silver({"application_id": "A", "application_date": datetime(2024, month, 1), **more})
+    load_gold(warehouse, at(3), rules, "r1")
+    monkeypatch.setattr(files, "write_text", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        warehouse.replace_months(["2024-03"], warehouse.fact(with_month=True).limit(0))
+    monkeypatch.undo()
+    assert warehouse.fact().count() == 1
+    for month, amount in ((4, 1.0), (5, 2.0), (5, 2.0)):
+        load_gold(warehouse, at(month, loan_amount=amount), rules, f"r{month}")
+    rows = warehouse.fact(with_month=True).collect()
+    assert [(r["application_month"], r["loan_amount"]) for r in rows] == [("2024-05", 2.0)]
+
+
 def test_latest_attributes_prefer_missing_update_time(silver):
     rows = silver(
         {"application_id": "1", "income_band": "a", "updated_timestamp": None},
