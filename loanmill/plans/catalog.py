@@ -17,6 +17,7 @@ from loanmill.plans import ask, portfolio
 from loanmill.plans import questions as Q
 from loanmill.plans.lake import Lake
 from loanmill.plans.portfolio import PortfolioFilter, ViewFilter
+from loanmill.plans.star import Star
 from loanmill.rules import Rules
 from loanmill.session import written
 from loanmill.sources import audit, star_feed
@@ -45,6 +46,12 @@ def ingest_counts(lake: Lake) -> DataFrame:
     return lake.landing.counts()
 
 
+@query
+def relanded_bronze(lake: Lake) -> DataFrame:
+    """Both files landed, then one of them again without its rows that lack an id."""
+    return lake.relanded.counts()
+
+
 @query
 def quarantined_rows(lake: Lake) -> DataFrame:
     return lake.landing.quarantine().select("applicant_id", "lender", "application_status", "_source_file")
@@ -157,12 +164,28 @@ def dim_applicant_latest(lake: Lake) -> DataFrame:
     return lake.star.dims["dim_applicant"].select("applicant_id", "income_band", "credit_score_range")
 
 
+@query
+def dim_applicant_after_update(lake: Lake) -> DataFrame:
+    """Applicants after a second load, whose attributes overwrite those of the first."""
+    return lake.second_delivery.dims["dim_applicant"].select("applicant_id", "income_band", "credit_score_range")
+
+
 @query
 def dim_key_density(lake: Lake) -> DataFrame:
     """Surrogate keys of every dimension run from 1 without gaps."""
+    return _key_density(lake.star)
+
+
+@query
+def dim_keys_after_update(lake: Lake) -> DataFrame:
+    """The same after a second load, which adds keys and keeps the old ones."""
+    return _key_density(lake.second_delivery)
+
+
+def _key_density(star: Star) -> DataFrame:
     out = None
     for d in D.DIMENSIONS:
-        part = lake.star.dims[d.table].agg(
+        part = star.dims[d.table].agg(
             F.lit(d.table).alias("dimension"), F.count(F.lit(1)).alias("members"),
             F.min(d.key).alias("least_key"), F.max(d.key).alias("greatest_key"),
             F.count_distinct(d.key).alias("distinct_keys"),
@@ -513,6 +536,14 @@ def answer_compose(lake: Lake) -> DataFrame:
     )
 
 
+@query
+def refused_questions(lake: Lake) -> DataFrame:
+    """Documents read as questions: those that are too short or too long to be asked."""
+    questions = lake.table("documents").select(F.col("doc_id").alias("question_id"), F.col("text").alias("question"))
+    _, refused = ask.split_questions(questions)
+    return refused.select("question_id", F.length("question").cast("long").alias("question_chars"))
+
+
 @query
 def batch_ask(lake: Lake) -> DataFrame:
     """Every benchmark passage asked against an index of all documents."""

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanmill.functions.text import is_blank
 from loanmill.operators import cleansing as C
 from loanmill.operators import dimensions as D
 from loanmill.operators import incremental as I
@@ -52,6 +53,16 @@ class Lake:
             landing.load(rows.filter(F.col("_source_file") == name), time, [name])
         return landing
 
+    @cached_property
+    def relanded(self) -> Landing:
+        """Another landing of both files, to which the first file comes a second time with fewer rows."""
+        landing = Landing(self.spark, f"{self.root}/relanded")
+        rows = written(star_feed.feed(self.spark, self.sf_dir), "feed")
+        landing.load(rows, star_feed.CSV_TIME, [star_feed.CSV_FILE, star_feed.JSON_FILE])
+        again = rows.filter((F.col("_source_file") == star_feed.CSV_FILE) & ~is_blank(F.col("application_id")))
+        landing.load(again, star_feed.JSON_TIME, [star_feed.CSV_FILE])
+        return landing
+
     @cached_property
     def bronze(self) -> DataFrame:
         return self.landing.bronze()

@@ -244,6 +244,19 @@ AT_STAR = AT_SILVER + STAR
 AT_EARLY = AT_STAR + EARLY + silver_chain("kept_early", "_early") + CLASSIFIED
 
 
+def key_density(rows: str) -> str:
+    """Members and keys of each dimension of the rows."""
+    return " UNION ALL ".join(
+        f"SELECT '{d}' AS dimension, COUNT(*) AS members, 1::BIGINT AS least_key, COUNT(*) AS greatest_key, COUNT(*) AS distinct_keys "
+        f"FROM (SELECT DISTINCT {k} FROM {rows} WHERE {c})"
+        for d, k, c in (
+            ("dim_applicant", "applicant_id", "applicant_id IS NOT NULL"),
+            ("dim_property", "property_state, property_county", "property_county IS NOT NULL"),
+            ("dim_lender", "lender", "lender IS NOT NULL"),
+            ("dim_loan_product", "loan_type, loan_term_months", "loan_term_months IS NOT NULL"),
+        ))
+
+
 def profile_sql() -> str:
     """Profile by one aggregate per column, stacked."""
     from loanmill import schemas
@@ -424,15 +437,17 @@ def oracle() -> dict[str, str]:
             WHERE loan_type IS NOT NULL AND loan_term_months IS NOT NULL"""),
         "dim_applicant_latest": _with(AT_STAR, """SELECT applicant_id, dim_income_band AS income_band,
             dim_credit_score_range AS credit_score_range FROM applicant"""),
-        "dim_key_density": _with(AT_SILVER, " UNION ALL ".join(
-            f"SELECT '{d}' AS dimension, COUNT(*) AS members, 1::BIGINT AS least_key, COUNT(*) AS greatest_key, COUNT(*) AS distinct_keys "
-            f"FROM (SELECT DISTINCT {k} FROM silver WHERE {c})"
-            for d, k, c in (
-                ("dim_applicant", "applicant_id", "applicant_id IS NOT NULL"),
-                ("dim_property", "property_state, property_county", "property_county IS NOT NULL"),
-                ("dim_lender", "lender", "lender IS NOT NULL"),
-                ("dim_loan_product", "loan_type, loan_term_months", "loan_term_months IS NOT NULL"),
-            ))),
+        "dim_applicant_after_update": _with(AT_EARLY, """SELECT applicant_id, dim_income_band AS income_band,
+            dim_credit_score_range AS credit_score_range FROM applicant
+            UNION ALL SELECT applicant_id, income_band, credit_score_range FROM (
+                SELECT *, ROW_NUMBER() OVER (PARTITION BY applicant_id ORDER BY updated_timestamp DESC NULLS FIRST, application_id DESC) AS rn
+                FROM silver_early WHERE applicant_id NOT IN (SELECT applicant_id FROM applicant)) WHERE rn = 1"""),
+        "dim_key_density": _with(AT_SILVER, key_density("silver")),
+        "dim_keys_after_update": _with(AT_EARLY, key_density("(SELECT * FROM silver UNION ALL SELECT * FROM silver_early)")),
+        "relanded_bronze": _with(FEED, f"""SELECT _source_file, COUNT(*) FILTER ({strip("application_id")} <> '') AS loaded,
+            COUNT(*) FILTER ({strip("application_id")} = '' AND _source_file <> 'feed_F.csv') AS rejected FROM feed GROUP BY _source_file"""),
+        "refused_questions": """SELECT doc_id AS question_id, length(text) AS question_chars FROM documents
+            WHERE text IS NULL OR length(text) < 3 OR length(text) > 500""",
         "fact_resolved": _with(AT_STAR, """SELECT application_id, date_key, applicant_id, property_state, property_county,
             lender_name, loan_type, loan_term_months, applicant_income, loan_amount, interest_rate,
             application_processing_days, application_status, denial_reason, updated_timestamp, source_file FROM fact"""),
