@@ -29,12 +29,18 @@ NEAR_BEST = 0.03
 # Pieces numbered in one task.
 NUMBERED = 50_000
 # Tokenized words that a worker remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 3 << 20
+
+
+# Letters and digits, and signs between which and them the vocabulary's pattern always splits.
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = 1
+_KIND[list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~\\")] = 2
 
 
 class WordTokens:
-    """Token ids of words, each distinct word tokenized once. Splitting at ASCII white space first gives the ids of the whole
-    text, as the vocabulary's pattern drops white space and never matches across it."""
+    """Token ids of words, each distinct word tokenized once. The vocabulary lowers its input, drops white space, and never
+    matches across white space, nor from a letter or digit to most signs, so the ids of a text are those of its parts."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -43,33 +49,47 @@ class WordTokens:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)  # sorted hashes
+        self.place = np.zeros(0, np.int64)  # and where each one's ids begin and end in `begins`
         self.begins = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _parts(self, texts: tb.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        starts, ends, first = texts.runs(tb.NOT_SPACE)
+        if b"<|" in texts.data.tobytes():  # may be one of the vocabulary's special strings, which count as they are
+            return tb.span_hashes(texts.data, starts, ends), np.stack([starts, ends]), first
+        kind = _KIND[texts.data]
+        cuts = np.flatnonzero(kind[1:] * kind[:-1] == 2) + 1
+        starts, ends = np.union1d(starts, cuts), np.union1d(ends, cuts)
+        return tb.span_hashes(texts.data, starts, ends, tb.LOWER), np.stack([starts, ends]), np.searchsorted(starts, texts.bounds)
+
     def encode(self, texts: tb.Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids, begins): ids of text i at begins[i]:begins[i + 1]."""
-        starts, ends, first = texts.runs(tb.NOT_SPACE)
-        hashes = tb.span_hashes(texts.data, starts, ends)
-        distinct, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.place) > REMEMBERED:
+        hashes, spans, first = self._parts(texts)
+        if not len(hashes):
+            return np.zeros(0, np.uint32), np.zeros(texts.count + 1, np.int64)
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        distinct, example = ordered[fresh], order[fresh]
+        inverse = np.empty(len(hashes), np.int64)
+        inverse[order] = np.cumsum(fresh) - 1
+        if len(self.known) > REMEMBERED:
             self.clear()
-        place = self.place
-        keys = distinct.tolist()
-        new = [k for k, h in enumerate(keys) if h not in place]
-        if new:
-            data = texts.data
-            words = [data[starts[example[k]] : ends[example[k]]].tobytes().decode("utf-8", "replace") for k in new]
+        at = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool) if not len(self.known) else self.known[np.minimum(at, len(self.known) - 1)] != distinct
+        if new.any():
+            words = [texts.data[a:b].tobytes().decode("utf-8", "replace") for a, b in spans[:, example[new]].T.tolist()]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-            for k in new:
-                place[keys[k]] = len(place)
+            self.place = np.insert(self.place, at[new], len(self.place) + np.arange(len(ids)))
+            self.known = np.insert(self.known, at[new], distinct[new])
             self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum([len(i) for i in ids], dtype=np.int64)])
             self.ids = np.concatenate([self.ids, np.fromiter((x for i in ids for x in i), np.uint32)])
-        at = np.fromiter(map(place.__getitem__, keys), np.int64, len(keys))
-        low, sizes = self.begins[at][inverse], np.diff(self.begins)[at][inverse]
+            at = np.searchsorted(self.known, distinct)
+        place = self.place[at]
+        low, sizes = self.begins[place][inverse], (self.begins[place + 1] - self.begins[place])[inverse]
         filled = np.concatenate([[0], np.cumsum(sizes)])
-        out = self.ids[np.arange(filled[-1]) + np.repeat(low - filled[:-1], sizes)] if len(sizes) else np.zeros(0, np.uint32)
-        return out, filled[first]
+        return self.ids[np.arange(filled[-1]) + np.repeat(low - filled[:-1], sizes)], filled[first]
 
 
 _tokens: dict[str, WordTokens] = {}

@@ -166,7 +166,8 @@ def test_pieces_are_those_of_the_tokenizer_and_fill_sequences(table, tricky, not
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.default_vocabulary())
-    texts = [prose(k, 5 + 37 * k) for k in range(30)] + [None, "", "don't  <|endoftext|>x\u00a0ÀÉ ǅ ①２", prose(7, 9000)]
+    texts = [prose(k, 5 + 37 * k) for k in range(30)] + [None, "", "don't  <|endoftext|>x\u00a0ÀÉ ǅ ①２", prose(7, 9000),
+        "Don't. 'S ,'s!(a)e\u0301,A\u030a. x'll,y 12,3.4 a_b-c:d é,é <a>|b|'t \\ \"q\" ```x"]
     rows = packing.pack(table(list(enumerate(texts)), "doc_id long, text string"), keep_ids=True).collect()
     by, places = defaultdict(list), defaultdict(list)
     for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
