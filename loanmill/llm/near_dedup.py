@@ -291,7 +291,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("rows")
     ).filter("not kept or rows > 1"), "judged")
     gone, repeated = judged.filter("not kept").select("row"), judged.filter("kept").select("row")
-    left = docs.join(gone, key == gone["row"], "left_anti")
+    # The same plan at every size: what goes grows with the documents, so it is never broadcast.
+    left = docs.join(gone.hint("merge"), key == gone["row"], "left_anti")
     if repeated.isEmpty():
         return left
     once = left.join(repeated, key == repeated["row"], "left_semi").dropDuplicates([id_col, text_col])
