@@ -178,3 +178,21 @@ def q10_rolling_approval_rate(star: Star) -> DataFrame:
         .withColumn("rolling_3mo_approval_rate_pct", _rate(approved, total))
         .orderBy("year_month")
     )
+
+
+def run_questions(star: Star, bronze: DataFrame, rules: Rules) -> list[tuple[str, list | None, str | None]]:
+    """(name, rows, error) of all ten questions in order; one that fails does not stop the others. Answers are small tables."""
+    questions = {
+        "q01": lambda: q01_monthly_trend(star), "q02": lambda: q02_state_extremes(star, rules), "q03": lambda: q03_top_denial_reason(star),
+        "q04": lambda: q04_loan_by_lender_and_type(star), "q05": lambda: q05_approval_by_income_band(star, rules),
+        "q06": lambda: q06_lender_monthly_change(star), "q07": lambda: q07_high_ratio_share(star, rules),
+        "q08": lambda: q08_top_lenders_per_state(star), "q09": lambda: q09_conflicting_deliveries(bronze),
+        "q10": lambda: q10_rolling_approval_rate(star),
+    }
+    out = []
+    for name, question in questions.items():
+        try:
+            out.append((name, question().collect(), None))
+        except Exception as failure:  # reported beside the other answers
+            out.append((name, None, f"{type(failure).__name__}: {failure}"))
+    return out

@@ -147,3 +147,10 @@ def test_state_extremes_need_enough_applications(warehouse, silver, rules):
 
 def test_silver_schema_matches_contract(silver):
     assert silver({}).columns == list(schemas.SILVER_COLUMNS)
+
+
+def test_question_runner_goes_on_after_a_failure(warehouse, silver, bronze, rules):
+    load_gold(warehouse, silver({}), rules, "r1")
+    answers = Q.run_questions(Star.load(warehouse), bronze({}).drop("lender"), rules)
+    assert [name for name, _, _ in answers] == [f"q{k:02d}" for k in range(1, 11)]
+    assert [name for name, rows, error in answers if error] in ([], ["q09"]) and answers[0][1][0]["total_applications"] == 1
