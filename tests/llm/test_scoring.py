@@ -59,6 +59,24 @@ def test_quality_edge_rows(tricky, nothing):
     assert quality_rules.judge(nothing).count() == 0
 
 
+def test_copies_do_not_move_a_language_band(table):
+    clean = [prose(k, 120) for k in range(40)]
+    copy = " ".join(["zq xj vvk wwq"[(k % 4) * 3 :] + str(k * 7919 % 1000) for k in range(80)])
+    rows = [(k, t, "en") for k, t in enumerate(clean)] + [(100 + k, copy, "en") for k in range(160)]
+    alone = quality_rules.judge(table(rows[:41], "doc_id long, text string, lang string")).collect()
+    judged = quality_rules.judge(table(rows, "doc_id long, text string, lang string")).collect()
+    assert all(r.kept for r in judged if r.doc_id < 40)
+    assert {(r.doc_id, r.bits, r.low, r.high) for r in alone} == {(r.doc_id, r.bits, r.low, r.high) for r in judged if r.doc_id <= 100}
+
+
+def test_languages_beyond_a_pass_have_their_own_models(table, monkeypatch):
+    rows = [(100 * j + k, prose(100 * j + k, 120).replace("a", "äöü"[j]), f"l{j}") for j in range(3) for k in range(20)]
+    schema = "doc_id long, text string, lang string"
+    together = sorted((r.doc_id, r.bits, r.kept) for r in quality_rules.judge(table(rows, schema)).collect())
+    monkeypatch.setattr(quality_rules, "OWN_MODELS", 1)
+    assert together == sorted((r.doc_id, r.bits, r.kept) for r in quality_rules.judge(table(rows, schema)).collect())
+
+
 def ppm(sequences, top):
     """A brute-force trie: symbol counts by context; the longest contexts from the kept four-byte sequences."""
     kids = [defaultdict(dict) for _ in range(4)]
