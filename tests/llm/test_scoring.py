@@ -77,6 +77,15 @@ def test_languages_beyond_a_pass_have_their_own_models(table, monkeypatch):
     assert together == sorted((r.doc_id, r.bits, r.kept) for r in quality_rules.judge(table(rows, schema)).collect())
 
 
+def test_symbol_laden_words_lie_beyond_the_band(table):
+    laden = lambda seed, every: " ".join(
+        w + ("$$$", "%%%", "&&&")[k % 3] if k % every == 0 else w for k, w in enumerate(prose(seed, 120).split())
+    )
+    rows = [(k, prose(k, 120), "en") for k in range(40)] + [(100 + e, laden(100 + e, e), "en") for e in (3, 4, 5, 6, 7, 8, 9, 10, 12, 15, 20)]
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(table(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(kept[k] for k in range(40)) and not kept[104]  # six distances and 3 / sqrt(bytes) kept it
+
+
 def ppm(sequences, top):
     """A brute-force trie: symbol counts by context; the longest contexts from the kept four-byte sequences."""
     kids = [defaultdict(dict) for _ in range(4)]
