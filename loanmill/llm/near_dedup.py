@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanmill.llm import textbatch as tb
@@ -56,8 +56,13 @@ def _sorted(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return out
 
 
+def _row(id_col: str, text_col: str) -> Column:
+    """Stands for a row in joins: never NULL, and different for different texts of one id."""
+    return F.struct(F.xxhash64(id_col).alias("of_id"), F.xxhash64(text_col).alias("of_text"))
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, n: int, t: int) -> DataFrame:
-    """(`id`, `n`, `fp`, `halves`, `signature`) per row: set size, 128-bit set fingerprint, the 2 * t half keys and
+    """(`id`, `row`, `n`, `fp`, `halves`, `signature`) per row: set size, 128-bit set fingerprint, the 2 * t half keys and
     one byte of every minhash. A text without words has n = 0 and no fingerprint."""
     hashes = 2 * t * HALF_ROWS
     random = np.random.default_rng(20_240_229)
@@ -87,18 +92,18 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, n: int, t: int) -> Dat
             for place, row in enumerate(some):
                 signatures[row] = bytes_of[hashes * place : hashes * (place + 1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
+                [batch.column("id"), batch.column("row"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
                  tb.list_column(_signed(keys.reshape(-1)), begin, pa.int64()), pa.array(signatures, pa.binary())],
-                ["id", "n", "fp", "halves", "signature"],
+                ["id", "row", "n", "fp", "halves", "signature"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return in_batches(narrow, sketch, f"id {kind}, n bigint, fp binary, halves array<bigint>, signature binary")
+    narrow = docs.select(F.col(id_col).alias("id"), _row(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    return in_batches(narrow, sketch, f"id {kind}, row struct<of_id:bigint,of_text:bigint>, n bigint, fp binary, halves array<bigint>, signature binary")
 
 
 def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, n: int, wanted: DataFrame) -> DataFrame:
-    """(`fp`, `shingles`) of the wanted fingerprints, each made from the text of its representative `id`."""
+    """(`fp`, `shingles`) of the wanted fingerprints, one each, made from the text of its representative `row`."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in tb.blocks(batches, "text"):
@@ -107,8 +112,8 @@ def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, n: int, wanted: D
                 [batch.column("fp"), tb.list_column(_sorted(values, begins), begins, pa.int64())], ["fp", "shingles"]
             )
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = texts.join(wanted.select("id", "fp"), "id").select("fp", "text")
+    texts = docs.select(_row(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    found = texts.join(wanted.select("row", "fp"), "row").select("fp", "text").dropDuplicates(["fp"])
     return staged(in_batches(found, sets, "fp binary, shingles array<bigint>"), "shingle-sets")
 
 
@@ -136,7 +141,7 @@ def near_duplicates(
     sketch = staged(sketches(docs, id_col, text_col, shingle, t), "sketches")
     nodes = staged(
         sketch.filter("n > 0").groupBy("fp").agg(
-            F.min("id").alias("id"), F.first("n").alias("n"), F.first("halves").alias("halves"), F.first("signature").alias("signature")
+            F.min("row").alias("row"), F.first("n").alias("n"), F.first("halves").alias("halves"), F.first("signature").alias("signature")
         ),
         "nodes",
     )
@@ -157,7 +162,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     """(`node`, `root`) of all nodes that have a link."""
     crowded = keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high")
     open_ = staged(keys.join(crowded.select("key"), "key"), "crowded-keys")
-    wanted = nodes.select("fp", "id").join(open_.select("fp").distinct(), "fp")
+    wanted = nodes.select("fp", "row").join(open_.select("fp").distinct(), "fp")
     sets = _shingle_sets(docs, id_col, text_col, shingle, wanted)
     leader = F.min(F.struct(F.xxhash64("fp"), "fp"))
     leaders = open_.groupBy("key").agg(leader.alias("leader"))

@@ -66,6 +66,20 @@ def test_blocks_of_any_size_find_the_same(spark, table, monkeypatch):
     assert got == expected(rows, 3, 85)
 
 
+def test_near_copies_with_null_and_repeated_ids(table):
+    texts = family(40, 60, 4) + family(20, 80, 5)
+    ids = [None if k % 3 == 0 else 7 + k % 4 for k in range(40)] + [None] * 20
+    rows = [pair for k, pair in enumerate(zip(ids, texts)) for _ in range(1 + (k % 5 == 0))]
+    of = expected(list(enumerate(t for _, t in rows)), 3, 85)
+    names = {}
+    for k, (_, root, _) in of.items():
+        names.setdefault(root, []).append(rows[k][0])
+    smallest = {root: min((i for i in held if i is not None), default=None) for root, held in names.items()}
+    wanted = sorted(repr((i, of[k][0], smallest[of[k][1]])) for k, (i, _) in enumerate(rows))
+    got = near_dedup.near_duplicates(table(rows, "doc_id long, text string"), shingle=3, percent=85).collect()
+    assert sorted(repr((r.doc_id, r.n_shingles, r.component_id)) for r in got) == wanted
+
+
 def test_edge_rows(tricky, nothing):
     rows = near_dedup.near_duplicates(tricky).collect()
     assert len(rows) == 13
