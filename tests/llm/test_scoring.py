@@ -144,6 +144,19 @@ def test_language_model_scores(table, monkeypatch, head, nodes):
         assert row.score == pytest.approx(sum(log10(s[i - 3 : i], s[i]) for i in range(3, len(s))), rel=1e-9)
 
 
+@pytest.mark.parametrize("travel", [60, 1])
+def test_sequences_that_do_not_travel_are_scored_whole(table, monkeypatch, travel):
+    texts = [prose(k, 40) for k in range(30)] + ["", None, "Ünï  CODE\ttext", "unseen zzz qqq"]
+    docs = table(list(enumerate(texts)), "doc_id long, text string")
+    got = lambda: {r.doc_id: r for r in lm_scoring.score(docs, fold("doc_id") != 1).collect()}
+    whole = got()
+    assert lm_scoring.TOP_NODES >= 1 << 32  # as many as there can be
+    monkeypatch.setattr(lm_scoring, "HEAD_NODES", travel)
+    parted = got()
+    assert {k: r.score for k, r in parted.items()} == pytest.approx({k: r.score for k, r in whole.items()}, rel=1e-9)
+    assert {k: r.n_known for k, r in parted.items()} == {k: r.n_known for k, r in whole.items()}
+
+
 def test_language_model_edge_rows(tricky, nothing):
     assert lm_scoring.score(tricky, F.lit(True)).count() == 13
     untaught = lm_scoring.score(tricky, F.lit(False)).filter("doc_id = 7").first()
