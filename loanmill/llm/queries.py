@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loanmill.llm import chat_format, decontaminate, license_scan, lm_scoring, near_dedup, packing, pii, quality_rules, sharding, spelling_variants, toxicity
+from loanmill.llm import chat_format, decontaminate, license_scan, lm_scoring, near_dedup, packing, pii, quality_rules, sharding, spelling_variants, toxicity, whitening
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
     "op11_spelling_variants": spelling_variants.op11_spelling_variants,
+    "op12_whitening": whitening.op12_whitening,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
