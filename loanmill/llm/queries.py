@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from loanmill.llm import chat_format, decontaminate, license_scan, lm_scoring, near_dedup, packing, pii, quality_rules, sharding, spelling_variants, toxicity, whitening
+from loanmill.llm import (
+    chat_format, decontaminate, language_id, license_scan, lm_scoring, near_dedup, packing, pii, quality_rules, sharding, spelling_variants,
+    toxicity, whitening,
+)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -17,6 +20,7 @@ QUERIES = {
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
     "op11_spelling_variants": spelling_variants.op11_spelling_variants,
     "op12_whitening": whitening.op12_whitening,
+    "op13_language_id": language_id.op13_language_id,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
