@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loanmill import schemas
 from loanmill.functions.numbers import cents, round_away, round_even
+from loanmill.functions.text import parse_number
 from loanmill.operators import answers, chunking, cleansing, profiling, quality, vectors
 from loanmill.operators import dimensions as D
 from loanmill.operators import incremental as I
@@ -52,6 +53,16 @@ def relanded_bronze(lake: Lake) -> DataFrame:
     return lake.relanded.counts()
 
 
+@query
+def ingest_csv_json(lake: Lake) -> DataFrame:
+    """All rows of the raw files, kept and quarantined, as they lie in the landing; numbers parsed, since engines write them differently."""
+    landing = lake.from_files
+    both = landing.bronze().withColumn("quarantined", F.lit(False)).unionByName(landing.quarantine().withColumn("quarantined", F.lit(True)))
+    numbers = {c: parse_number(F.col(c)) for c in schemas.NUMERIC_COLUMNS}
+    source = F.when(F.col("_source_file").endswith(".csv"), "csv").otherwise("json")
+    return both.withColumns(numbers).select(*schemas.SOURCE_COLUMNS, "quarantined", source.alias("format"), "_ingestion_timestamp")
+
+
 @query
 def quarantined_rows(lake: Lake) -> DataFrame:
     return lake.landing.quarantine().select("applicant_id", "lender", "application_status", "_source_file")

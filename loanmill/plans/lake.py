@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanmill import schemas
 from loanmill.functions.text import is_blank
 from loanmill.operators import cleansing as C
 from loanmill.operators import dimensions as D
@@ -16,7 +17,7 @@ from loanmill.plans import load
 from loanmill.plans.star import Star
 from loanmill.session import configure, scratch_path, written
 from loanmill.sources import star_feed
-from loanmill.sources.feeds import Landing
+from loanmill.sources.feeds import Landing, Source, ingest
 from loanmill.sources.tables import Warehouse
 
 
@@ -63,6 +64,32 @@ class Lake:
         landing.load(again, star_feed.JSON_TIME, [star_feed.CSV_FILE])
         return landing
 
+    @cached_property
+    def from_files(self) -> Landing:
+        """A landing of the feed's raw files: CSV of two layouts, JSON lines, and files that lack columns; loaded twice."""
+        rows = written(star_feed.feed(self.spark, self.sf_dir), "feed")
+        raw = f"{self.root}/raw"
+        is_csv, other_layout = F.col("_source_file") == star_feed.CSV_FILE, F.pmod(F.xxhash64("applicant_id"), F.lit(2)) == 1
+        cells = [F.col(c) for c in schemas.SOURCE_COLUMNS]
+
+        def to_csv(part: DataFrame, name: str) -> None:
+            keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+            part.write.options(header=True, escape='"', **keep_blanks).csv(f"{raw}/core/{name}")
+
+        to_csv(rows.filter(is_csv & ~other_layout).select(cells), "a")
+        to_csv(rows.filter(is_csv & other_layout).select(F.lit("more").alias("extra"), *reversed(cells)), "b")
+        to_csv(self.table("region"), "c")
+        rows.filter(~is_csv).select(cells).write.option("ignoreNullFields", False).json(f"{raw}/broker/a")
+        self.table("nation").write.json(f"{raw}/broker/b")
+        sources = [
+            Source("core", "csv", f"{raw}/core/*/part-*.csv", one_record_per_line=True),
+            Source("broker", "json", f"{raw}/broker/*/part-*.json", one_record_per_line=True),
+        ]
+        landing = Landing(self.spark, f"{self.root}/from-files")
+        for time in (star_feed.CSV_TIME, star_feed.JSON_TIME):
+            ingest(self.spark, sources, landing, time)
+        return landing
+
     @cached_property
     def bronze(self) -> DataFrame:
         return self.landing.bronze()

@@ -118,11 +118,8 @@ def run_all(
 
     def ingest():
         with stage(warehouse, run_id, "ingestion") as counts:
-            names = feeds.ingest(spark, sources, landing, now)
-            tally = landing.counts().filter(F.col("_source_file").isin(names)).agg(
-                F.sum("loaded").alias("loaded"), F.sum("rejected").alias("rejected")
-            ).first()
-            counts.rows_new, counts.rows_rejected = tally["loaded"] or 0, tally["rejected"] or 0
+            landed = feeds.ingest(spark, sources, landing, now)
+            counts.rows_new, counts.rows_rejected = landed.loaded, landed.rejected
             counts.rows_read = counts.rows_new + counts.rows_rejected
 
     timed("ingestion", ingest)
