@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loanmill import schemas
 from loanmill.functions import numbers as N
 from loanmill.functions import text as X
-from loanmill.operators.medians import grouped_median
+from loanmill.operators.medians import counted_values, middle
 from loanmill.rules import Rules
 from loanmill.session import written
 
@@ -104,28 +104,24 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kept, rejects
 
 
-def medians_by_loan_type(kept: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def medians_by_loan_type(kept: DataFrame) -> DataFrame:
     """`loan_type`, `applicant_income_fill`, `interest_rate_fill`: the value that fills a gap.
 
     One row per loan type and one for rows without a type. A type's own median fills its gaps; the
     overall median serves rows without a type and types without any value. Medians are taken over kept
-    rows before de-duplication. The overall group is an extra key value, so one pass yields both.
+    rows before de-duplication, and both kinds from one table of counted values.
     """
-    groups = F.array(
-        F.struct(F.lit(False).alias("overall"), F.col("loan_type").alias("type")),
-        F.struct(F.lit(True).alias("overall"), F.lit(None).cast("string").alias("type")),
-    )
-    values = kept.select(F.explode(groups).alias("g"), *IMPUTED).select("g.overall", "g.type", *IMPUTED)
-    doubled = None if rows_at_most is None else 2 * rows_at_most
-    medians = written(grouped_median(values, ["overall", "type"], IMPUTED, rows_at_most=doubled), "medians")
-    overall = medians.filter("overall").first()
-    fills = []
-    for column in IMPUTED:
-        own = F.when(F.col("type").isNotNull(), F.col(f"{column}_median"))
-        everywhere = F.lit(overall[f"{column}_median"] if overall else None).cast("double")
-        fills.append(F.coalesce(own, everywhere).alias(f"{column}_fill"))
-    typed = medians.filter("NOT overall AND type IS NOT NULL")
-    return typed.unionByName(medians.filter("overall")).select(F.col("type").alias("loan_type"), *fills)
+    counts = counted_values(kept, ["loan_type"], IMPUTED)
+    own = middle(counts.filter("loan_type IS NOT NULL"), ["field", "loan_type"])
+    overall = middle(counts, ["field"]).select("field", F.lit(None).cast("string").alias("loan_type"), "median")
+    medians = written(own.unionByName(overall), "medians")
+    everywhere = {r["field"]: r["median"] for r in medians.filter("loan_type IS NULL").collect()}  # one row per field
+    types = counts.select("loan_type").filter("loan_type IS NOT NULL").distinct()
+    found = medians.groupBy("loan_type").agg(*[F.max(F.when(F.col("field") == c, F.col("median"))).alias(c) for c in IMPUTED])
+    fills = [F.coalesce(F.col(c), F.lit(everywhere.get(c)).cast("double")).alias(f"{c}_fill") for c in IMPUTED]
+    typed = types.join(found, "loan_type", "left").select("loan_type", *fills)
+    rest = [F.lit(everywhere.get(c)).cast("double").alias(f"{c}_fill") for c in IMPUTED]
+    return typed.unionByName(kept.sparkSession.range(1).select(F.lit(None).cast("string").alias("loan_type"), *rest))
 
 
 def impute(kept: DataFrame, medians: DataFrame) -> DataFrame:

@@ -133,10 +133,9 @@ def overwrite_attributes(dim: DataFrame, attributes: DataFrame) -> DataFrame:
     )
 
 
-def _refresh_calendar(warehouse: Warehouse, silver: DataFrame, rules: Rules) -> None:
+def _refresh_calendar(warehouse: Warehouse, span: tuple[date | None, date | None], rules: Rules) -> None:
     """The stored calendar holds the days of the rules, of earlier loads, and all that Silver now spans."""
-    day = F.col("application_date").cast("date")
-    first, last = silver.agg(F.min(day), F.max(day)).first()
+    first, last = span
     start, end = rules.calendar_start, rules.calendar_end
     if warehouse.has("dim_date"):
         start, known_last = warehouse.read("dim_date").agg(F.min("full_date"), F.max("full_date")).first()
@@ -148,9 +147,14 @@ def _refresh_calendar(warehouse: Warehouse, silver: DataFrame, rules: Rules) ->
     warehouse.write("dim_date", dim_date(warehouse.spark, start, end))
 
 
-def refresh_dims(warehouse: Warehouse, silver: DataFrame, rules: Rules) -> dict[str, DataFrame]:
-    """Bring all five dimensions up to date with Silver and return them."""
-    _refresh_calendar(warehouse, silver, rules)
+def refresh_dims(
+    warehouse: Warehouse, silver: DataFrame, rules: Rules, span: tuple[date | None, date | None] | None = None
+) -> dict[str, DataFrame]:
+    """Bring all five dimensions up to date with Silver and return them. `span`: Silver's first and last day, if known."""
+    if span is None:
+        day = F.col("application_date").cast("date")
+        span = tuple(silver.agg(F.min(day), F.max(day)).first())
+    _refresh_calendar(warehouse, span, rules)
     attributes = written(latest_attributes(silver), "applicant-attributes")
     incoming = attributes.select(
         F.lit(APPLICANT.table).alias("dim"), F.col("applicant_id").alias("k1"), F.lit(None).cast("string").alias("k2")
@@ -166,7 +170,7 @@ def refresh_dims(warehouse: Warehouse, silver: DataFrame, rules: Rules) -> dict[
             known = keys if known is None else known.unionByName(keys)
             base[d.table] = dim.agg(F.coalesce(F.max(d.key), F.lit(0))).first()[0]
         fresh = incoming.join(known, _same_key(incoming, known), "left_anti")
-    numbered = written(number_keys(fresh, base), "numbered-keys")
+    numbered = written(number_keys(written(fresh, "fresh-keys"), base), "numbered-keys")
     grown = {row["dim"] for row in numbered.select("dim").distinct().collect()}  # at most four names
 
     def publish(d: Dimension) -> None:

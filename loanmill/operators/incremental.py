@@ -13,6 +13,7 @@ from loanmill.functions.hashing import fingerprint
 from loanmill.functions.numbers import count_if, moment
 from loanmill.operators import dimensions as D
 from loanmill.rules import Rules
+from loanmill.session import measured
 from loanmill.sources import files
 from loanmill.sources.audit import stage, utc_now
 from loanmill.sources.tables import MONTH, Warehouse, month_of
@@ -68,7 +69,11 @@ def load_gold(
     """
     with stage(warehouse, run_id, "dimensional_load") as counts:
         spark = warehouse.spark
-        dims = D.refresh_dims(warehouse, silver, rules)
+        day = F.col("application_date").cast("date")
+        totals = silver.agg(
+            F.count(F.lit(1)).alias("n"), count_if(D.lacks_key()).alias("lacking"), F.min(day).alias("first"), F.max(day).alias("last")
+        ).first()
+        dims = D.refresh_dims(warehouse, silver, rules, (totals["first"], totals["last"]))
         hashed = with_row_hash(silver)
         first_load = not warehouse.has_fact()
         if first_load:
@@ -83,21 +88,19 @@ def load_gold(
             .select(*schemas.FACT_COLUMNS, MONTH, "change_type", "old_month")
         )
         if first_load:
-            warehouse.replace_months(None, changed.hint("rebalance", MONTH).drop("change_type", "old_month"))
-            counts.rows_new = warehouse.fact().count()
+            rows, seen = measured(changed.drop("change_type", "old_month").hint("rebalance", MONTH), n=F.count(F.lit(1)))
+            warehouse.replace_months(None, rows)
+            counts.rows_new = seen.get["n"]
         else:
             path = warehouse.scratch("changed")
-            changed.write.parquet(path)
-            staged = spark.read.parquet(path)
-            tally = staged.agg(
-                count_if(F.col("change_type") == NEW).alias("new"),
-                count_if(F.col("change_type") == UPDATED).alias("updated"),
-            ).first()
-            counts.rows_new, counts.rows_updated = tally["new"], tally["updated"]
+            rows, seen = measured(
+                changed, new=count_if(F.col("change_type") == NEW), updated=count_if(F.col("change_type") == UPDATED)
+            )
+            rows.write.parquet(path)
+            counts.rows_new, counts.rows_updated = seen.get["new"], seen.get["updated"]
             if counts.rows_new or counts.rows_updated:
-                _merge_months(warehouse, staged)
+                _merge_months(warehouse, spark.read.schema(changed.schema).parquet(path))
             files.delete(spark, path)
-        totals = silver.agg(F.count(F.lit(1)).alias("n"), count_if(D.lacks_key()).alias("lacking")).first()
         counts.rows_read, counts.rows_rejected = totals["n"], totals["lacking"]
         counts.rows_unchanged = counts.rows_read - counts.rows_rejected - counts.rows_new - counts.rows_updated
         return LoadResult(

@@ -1,4 +1,4 @@
-"""Exact grouped medians that do not need a whole group in one task."""
+"""Exact grouped medians by rank selection on counted values; no group ever lies in one task."""
 
 from __future__ import annotations
 
@@ -9,79 +9,55 @@ from pyspark.sql import functions as F
 
 from loanmill.session import written
 
-# Up to this many rows in one group Spark's own exact median (a value map per group) is the better plan.
-NATIVE_LIMIT = 1_000_000
-BUCKETS = 1024
 
+def counted_values(df: DataFrame, keys: Sequence[str], values: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """(`field`, `keys`, `v`, `n`, `range`): how often each group holds each value of the fields, NULLs included.
 
-def grouped_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    values: Sequence[str],
-    rows_at_most: int | None = None,
-    native_limit: int = NATIVE_LIMIT,
-) -> DataFrame:
-    """`keys` plus `<value>_median` for every value column; NULL values are ignored.
-
-    Groups within `native_limit` use the built-in aggregate, either because the caller knows the input
-    is no larger (`rows_at_most`) or because the group sizes were counted. If any group is larger, rows
-    are narrowed by counting instead of being gathered: see `_narrow`.
+    Counts are combined before they are shuffled, so a value that a third of all rows share is one row. Ranges follow each other in
+    order of field and value over all groups; their number follows the size of the table unless given.
     """
+    counted = None
+    for field in values:
+        part = df.groupBy(F.lit(field).alias("field"), *keys, F.col(field).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        counted = part if counted is None else counted.unionByName(part)
+    order = [F.col(c) for c in ("field", "v", *keys)]
+    ordered = counted.repartitionByRange(ranges, *order) if ranges else counted.repartitionByRange(*order)
+    return written(ordered.withColumn("range", F.spark_partition_id()), "value-counts")
 
-    def built_in(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys).agg(*[F.median(v).alias(f"{v}_median") for v in values])
-
-    if rows_at_most is not None and rows_at_most <= native_limit:
-        return built_in(df)
-    table = written(df.select(*keys, *values), "median-input")
-    sizes = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    if (sizes.agg(F.max("n")).first()[0] or 0) <= native_limit:
-        return built_in(table)
-    result = written(table.select(*keys).distinct(), "median-keys")
-    for value in values:
-        part = _narrow(table.select(*keys, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL"), list(keys))
-        part = part.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("median").alias(f"{value}_median"))
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        result = result.join(part, same, "left").drop(*[f"_{k}" for k in keys])
-    return result
 
+def middle(counts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """(`group`, `median`) of the values in `counted_values` form; for fewer columns than were counted, of their union.
 
-def _narrow(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Median per group by repeated counting.
-
-    Each group tracks its lower and upper middle rank inside an interval known to hold them. A round
-    splits the interval into equal buckets, counts rows per bucket (a map-side-combined aggregate of at
-    most BUCKETS rows per group and rank), and moves on to the one bucket that holds the rank. The bucket's own
-    least and greatest value bound the next round, so it ends when the two are equal. No round moves
-    raw rows between tasks.
+    Sums by range tell which range holds the middle rank (or the two of an even number); only its rows are put in order.
     """
-    bounds = rows.groupBy(*keys).agg(
-        F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n")
+    known = counts.filter("v IS NOT NULL")
+    sums = known.groupBy(*group, "range").agg(F.sum("n").alias("n"))
+    by_range = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum("n").over(Window.partitionBy(*group))
+    placed = sums.select(*group, "range", F.sum("n").over(by_range).alias("upto"), "n", total.alias("total")).withColumns({
+        "low": F.floor((F.col("total") + 1) / 2), "high": F.floor((F.col("total") + 2) / 2)
+    })
+    holds = placed.filter("upto >= low AND upto - n < high").select(
+        *[F.col(g).alias(f"_{g}") for g in group], F.col("range").alias("_range"), (F.col("upto") - F.col("n")).alias("before"), "low", "high"
     )
-    middle = F.array(F.floor((F.col("n") + 1) / 2), F.floor((F.col("n") + 2) / 2))
-    state = written(
-        bounds.select(*keys, F.posexplode(middle).alias("side", "rank"), "low", "high", F.lit(0).cast("long").alias("below")),
-        "median-state",
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
+    inside = known.join(holds, [*same, F.col("range") == F.col("_range")])
+    by_value = Window.partitionBy(*group, "range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.withColumn("upto", F.col("before") + F.sum("n").over(by_value))
+
+    def at(rank: str):
+        return F.max(F.when((F.col("upto") >= F.col(rank)) & (F.col("upto") - F.col("n") < F.col(rank)), F.col("v")))
+
+    return ranked.groupBy(*group).agg((at("low") * F.lit(0.5) + at("high") * F.lit(0.5)).alias("median"))
+
+
+def grouped_median(df: DataFrame, keys: Sequence[str], values: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """`keys` plus `<value>_median` for every value column, a row per group of `df`; NULL values are ignored."""
+    counts = counted_values(df, keys, values, ranges)
+    found = middle(counts, ["field", *keys]).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("field") == v, F.col("median"))).alias(f"{v}_median") for v in values]
     )
-    while state.filter("low < high").limit(1).count():
-        open_ranks = state.filter("low < high")
-        renamed = open_ranks.select(*[F.col(k).alias(f"_{k}") for k in keys], "side", "rank", "low", "high", "below")
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        inside = rows.join(renamed, same + [F.col("v").between(F.col("low"), F.col("high"))])
-        # Halving first keeps the width finite over the whole double range.
-        share = (F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
-        bucket = F.least(F.floor(share * F.lit(float(BUCKETS))), F.lit(BUCKETS - 1))
-        group = [*keys, "side", "rank", "below"]
-        counts = inside.withColumn("bucket", bucket).groupBy(*group, "bucket").agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-        )
-        running = F.sum("n").over(
-            Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        )
-        step = (
-            counts.withColumn("reached", F.col("below") + running)
-            .filter((F.col("reached") >= F.col("rank")) & (F.col("reached") - F.col("n") < F.col("rank")))
-            .select(*keys, "side", "rank", "low", "high", (F.col("reached") - F.col("n")).alias("below"))
-        )
-        state = written(state.filter("low >= high").unionByName(step), "median-state")
-    return state.groupBy(*keys).agg(F.avg("low").alias("median"))
+    renamed = found.select(*[F.col(k).alias(f"_{k}") for k in keys], *[f"{v}_median" for v in values])
+    groups = counts.select(*keys).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return groups.join(renamed, same, "left").select(*keys, *[f"{v}_median" for v in values])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loanmill import schemas
 from loanmill.functions.numbers import cents, round_away, round_even
 from loanmill.functions.text import parse_number
-from loanmill.operators import answers, chunking, cleansing, profiling, quality, vectors
+from loanmill.operators import answers, chunking, cleansing, medians, profiling, quality, vectors
 from loanmill.operators import dimensions as D
 from loanmill.operators import incremental as I
 from loanmill.plans import ask, portfolio
@@ -97,6 +97,16 @@ def impute_medians(lake: Lake) -> DataFrame:
     return cleansing.medians_by_loan_type(lake.kept)
 
 
+@query
+def medians_of_large_groups(lake: Lake) -> DataFrame:
+    """Medians of groups that each span many ranges of the counted values; one of them is the group of NULL."""
+    lines = lake.table("lineitem").select(
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("returned"), "l_extendedprice",
+        F.when(F.col("l_linenumber") > 1, F.col("l_discount")).alias("discount"), (F.col("l_partkey") % 2).cast("double").alias("parity"),
+    )
+    return medians.grouped_median(lines, ["returned"], ["l_extendedprice", "discount", "parity"], ranges=61)
+
+
 @query
 def imputed_rows(lake: Lake) -> DataFrame:
     return cleansing.impute(lake.kept, cleansing.medians_by_loan_type(lake.kept)).select(
@@ -136,12 +146,10 @@ def processing_days(lake: Lake) -> DataFrame:
 
 @query
 def stage_counters(lake: Lake) -> DataFrame:
-    rows = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("counter"), "n")
-    flagged = lake.silver.filter(F.col("data_quality_status") == "flagged")
-    return (
-        rows(lake.bronze, "read").unionByName(rows(lake.rejects, "rejected"))
-        .unionByName(rows(lake.silver, "written")).unionByName(rows(flagged, "flagged"))
-    )
+    """What the transformation observed while it wrote."""
+    seen = lake.transformed
+    counters = {"read": seen.rows_read, "rejected": seen.rows_rejected, "written": seen.rows_written, "flagged": seen.rows_flagged}
+    return lake.spark.createDataFrame(list(counters.items()), "counter string, n bigint")
 
 
 # -- star schema ------------------------------------------------------------------------------------------
@@ -254,7 +262,7 @@ def q03(lake: Lake) -> DataFrame:
 
 @query
 def q04(lake: Lake) -> DataFrame:
-    return Q.q04_loan_by_lender_and_type(lake.star, lake.star.fact.count())
+    return Q.q04_loan_by_lender_and_type(lake.star)
 
 
 @query

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from time import perf_counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loanmill.functions.numbers import count_if
@@ -18,7 +18,7 @@ from loanmill.operators.derive import derive, silver_projection
 from loanmill.operators.incremental import LoadResult, load_gold
 from loanmill.plans.star import Star
 from loanmill.rules import Rules
-from loanmill.session import side_by_side, written
+from loanmill.session import measured, side_by_side, written
 from loanmill.sources import feeds, files
 from loanmill.sources.audit import stage, utc_now
 from loanmill.sources.tables import Warehouse
@@ -27,19 +27,21 @@ SILVER, REJECTS = "silver_loan_application", "transformation_rejected"
 PROFILE, CONCERNS, QUALITY = "bronze_profile", "bronze_concerns", "quality_reports"
 
 
-def transform(bronze: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
-    """(Silver, reject log) of a Bronze frame.
+def transform(bronze: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame, Observation]:
+    """(Silver, reject log, rows `read` and `rejected`) of a Bronze frame.
 
     Text is parsed once, into a staged typed table with the verdict per row; medians, rejects and Silver
     read the few columns they need from there. Silver then takes a single exchange, on the application
     id, to keep each application's latest version. Imputation follows that choice: it does not affect it,
     and fewer rows remain.
     """
-    staged = written(C.checked(bronze, rules), "checked")
-    kept, rejects = C.split_rejects(staged)
-    medians = C.medians_by_loan_type(kept, staged.count())
+    checked, seen = measured(
+        C.checked(bronze, rules), read=F.count(F.lit(1)), rejected=count_if(F.col("reject_reason").isNotNull())
+    )
+    kept, rejects = C.split_rejects(written(checked, "checked"))
+    medians = C.medians_by_loan_type(kept)
     silver = silver_projection(derive(C.impute(C.latest_version(kept), medians), rules))
-    return silver, rejects
+    return silver, rejects, seen
 
 
 @dataclass(frozen=True)
@@ -53,15 +55,13 @@ class TransformCounts:
 def refresh_silver(warehouse: Warehouse, bronze: DataFrame, rules: Rules, run_id: str) -> TransformCounts:
     """Rebuild Silver and its reject log, both always rewritten."""
     with stage(warehouse, run_id, "transformation") as counts:
-        silver_rows, reject_rows = transform(bronze, rules)
-        silver, rejects = side_by_side(
-            lambda: warehouse.write(SILVER, silver_rows), lambda: warehouse.write(REJECTS, reject_rows)
+        silver_rows, reject_rows, seen = transform(bronze, rules)
+        silver_rows, tally = measured(
+            silver_rows, n=F.count(F.lit(1)), flagged=count_if(F.col("data_quality_status") == "flagged")
         )
-        tally = silver.agg(
-            F.count(F.lit(1)).alias("n"), count_if(F.col("data_quality_status") == "flagged").alias("flagged")
-        ).first()
-        counts.rows_read, counts.rows_new, counts.rows_rejected = bronze.count(), tally["n"], rejects.count()
-        return TransformCounts(counts.rows_read, counts.rows_rejected, tally["n"], tally["flagged"])
+        side_by_side(lambda: warehouse.write(SILVER, silver_rows), lambda: warehouse.write(REJECTS, reject_rows))
+        counts.rows_read, counts.rows_rejected, counts.rows_new = seen.get["read"], seen.get["rejected"], tally.get["n"]
+        return TransformCounts(counts.rows_read, counts.rows_rejected, counts.rows_new, tally.get["flagged"])
 
 
 def refresh_profile(warehouse: Warehouse, bronze: DataFrame) -> DataFrame:
@@ -79,9 +79,11 @@ def check_quality(warehouse: Warehouse, bronze: DataFrame, rules: Rules, run_id:
     with stage(warehouse, run_id, "data_quality") as counts:
         star = Star.load(warehouse)
         rejects = warehouse.read(REJECTS)
-        checks = quality.quality_checks(star.fact, warehouse.read(SILVER), bronze, rejects, star.dims, rules, as_of)
+        measures = quality.measures(star.fact, warehouse.read(SILVER), bronze, rejects, star.dims, rules, as_of)
+        measures, seen = measured(measures, rows=F.max("fact_rows"))
+        checks = quality.checks_of(measures, star.fact.columns, rules, as_of)
         warehouse.append(QUALITY, quality.report(checks, as_of).coalesce(1))
-        counts.rows_read = star.fact.count()
+        counts.rows_read = seen.get["rows"]
         return latest_quality_report(warehouse).select(F.inline("checks"))
 
 

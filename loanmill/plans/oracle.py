@@ -400,6 +400,9 @@ def oracle() -> dict[str, str]:
     sql = {
         "ingest_counts": _with(FEED, f"""SELECT _source_file, COUNT(*) FILTER ({strip("application_id")} <> '') AS loaded,
             COUNT(*) FILTER ({strip("application_id")} = '') AS rejected FROM feed GROUP BY _source_file"""),
+        "medians_of_large_groups": """SELECT CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS returned,
+            median(l_extendedprice) AS l_extendedprice_median, median(CASE WHEN l_linenumber > 1 THEN l_discount END) AS discount_median,
+            median((l_partkey % 2)::DOUBLE) AS parity_median FROM lineitem GROUP BY 1""",
         "ingest_csv_json": _with(FEED, f"""SELECT * EXCLUDE (_source_file, _ingestion_timestamp)
             REPLACE ({", ".join(f"{number(c)} AS {c}" for c in NUMBERS)}),
             {strip("application_id")} = '' AS quarantined, CASE _source_file WHEN 'feed_F.csv' THEN 'csv' ELSE 'json' END AS format,

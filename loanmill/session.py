@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from loanmill.sources import files
 
@@ -75,6 +75,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """`df`, and the metrics that become known while it is written: no job of their own. Observe the rows right before
+    they are written, where a task counts once even if executors are lost."""
+    seen = Observation()
+    return df.observe(seen, *[metric.alias(name) for name, metric in metrics.items()]), seen
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for an input with fewer splits than cores; larger inputs pass through untouched."""
     cores = df.sparkSession.sparkContext.defaultParallelism

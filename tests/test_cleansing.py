@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loanmill.operators import cleansing as C
 from loanmill.operators.derive import derive
-from loanmill.operators.medians import grouped_median
+from loanmill.operators.medians import counted_values, grouped_median, middle
 from loanmill.plans.load import transform
 
 
@@ -33,12 +33,12 @@ def test_cells_are_judged_one_by_one(bronze, column, cells):
 
 
 @pytest.mark.parametrize("column, cells", [
-    ("property_state", [("ny", "NY"), ("\tDc ", "DC"), ("New York", None)]),
-    ("application_status", [("wITHDRAWN", "Withdrawn"), (" denied", "Denied")]),
+    ("property_state", [("ny", "NY"), ("\tDc ", "DC"), ("New York", "NEW YORK")]),
+    ("application_status", [("wITHDRAWN", "Withdrawn"), (" denied", "Denied"), ("Pending", None), ("", None), (None, None)]),
 ])
 def test_spellings_are_unified(bronze, rules, column, cells):
-    rows = cleaned(bronze, rules, *[{column: raw} for raw, _ in cells if _]).collect()
-    assert [r[column] for r in rows] == [value for _, value in cells if value]
+    rows = C.normalize_categoricals(bronze(*[{column: raw} for raw, _ in cells]), rules).collect()
+    assert [r[column] for r in rows] == [value for _, value in cells]
 
 
 @pytest.mark.parametrize("change, reason", [
@@ -148,7 +148,7 @@ def test_derived_values(bronze, rules, change, derived):
 
 
 def test_transform_end_to_end(bronze, rules):
-    silver, rejects = transform(bronze(
+    silver, rejects, seen = transform(bronze(
         {"application_id": "1", "loan_amount": "$1,500.00"}, {"application_id": "1", "loan_amount": "-4"},
         {"application_id": "2", "applicant_income": ""},
     ), rules)
@@ -156,7 +156,7 @@ def test_transform_end_to_end(bronze, rules):
     assert [(r["application_id"], r["loan_amount"], r["applicant_income"], r["data_quality_status"]) for r in rows] == [
         ("1", 1500.0, 85000.0, "clean"), ("2", 250000.0, 85000.0, "flagged")
     ]
-    assert rejects.count() == 1
+    assert rejects.count() == 1 and seen.get == {"read": 3, "rejected": 1}
 
 
 def test_large_group_median_equals_built_in(spark):
@@ -165,7 +165,17 @@ def test_large_group_median_equals_built_in(spark):
         F.when(F.col("id") % 11 != 0, F.round(F.pow(F.lit(1.004), F.col("id")) - 40000, 2)).alias("a"),
         F.when(F.col("id") % 2 == 0, F.lit(7.0)).alias("b"),
     )
-    expected = grouped_median(df, ["g"], ["a", "b"], rows_at_most=4000)
-    narrowed = grouped_median(df, ["g"], ["a", "b"], native_limit=10)
+    expected = df.groupBy("g").agg(F.median("a").alias("a_median"), F.median("b").alias("b_median"))
     key = lambda r: str(r["g"])
-    assert sorted(narrowed.collect(), key=key) == sorted(expected.collect(), key=key)
+    for ranges in (None, 1, 40):
+        assert sorted(grouped_median(df, ["g"], ["a", "b"], ranges).collect(), key=key) == sorted(expected.collect(), key=key)
+    alone = df.agg(F.median("a").alias("a_median")).first()[0]
+    assert middle(counted_values(df, ["g"], ["a"], 40), ["field"]).first()["median"] == alone
+    assert grouped_median(df.filter("false"), ["g"], ["a"]).count() == 0
+
+
+def test_a_value_shared_by_most_rows_is_counted_once(spark):
+    df = spark.range(3000).select(F.lit("one").alias("g"), F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("id").cast("double")).alias("a"))
+    counts = counted_values(df, ["g"], ["a"])
+    assert counts.count() == 1001 and counts.agg(F.sum("n")).first()[0] == 3000
+    assert grouped_median(df, ["g"], ["a"]).first()["a_median"] == 5.0

@@ -7,6 +7,7 @@ from loanmill import schemas
 from loanmill.functions.hashing import fingerprint
 from loanmill.operators import dimensions as D
 from loanmill.operators.incremental import load_gold
+from loanmill.plans import load
 from loanmill.plans import questions as Q
 from loanmill.plans.star import Star
 from loanmill.sources import audit, files
@@ -118,6 +119,30 @@ def test_a_load_that_fails_changes_nothing_and_can_be_repeated(warehouse, silver
     assert [(r["application_month"], r["loan_amount"]) for r in rows] == [("2024-05", 2.0)]
 
 
+def test_stages_know_their_counts_without_counting_jobs(spark, warehouse, bronze, rules, monkeypatch):
+    rows = bronze(
+        {"application_id": "1", "loan_amount": "-4"}, {"application_id": "2", "applicant_income": ""}, {"application_id": "3"},
+        {"application_id": "4", "lender": " "},
+    )
+    counted = []
+    kind = type(rows)
+    monkeypatch.setattr(kind, "count", lambda self, f=kind.count: counted.append(self) or f(self))
+    as_of = datetime(2024, 6, 1)
+    done = load.refresh_silver(warehouse, rows, rules, "r1")
+    assert (done.rows_read, done.rows_rejected, done.rows_written, done.rows_flagged) == (4, 1, 3, 1)
+    stored = warehouse.read(load.SILVER)
+    first = load_gold(warehouse, stored, rules, "r1", as_of)
+    changed = stored.withColumn("loan_amount", F.when(F.col("application_id") == "3", 7000.0).otherwise(F.col("loan_amount")))
+    extra = changed.unionByName(changed.filter("application_id = '3'").withColumn("application_id", F.lit("5")))
+    second = load_gold(warehouse, extra, rules, "r2", as_of)
+    load.check_quality(warehouse, rows, rules, "r2", as_of)
+    assert (first.rows_read, first.rows_new, first.rows_rejected) == (3, 2, 1)
+    assert (second.rows_read, second.rows_new, second.rows_updated, second.rows_unchanged, second.rows_rejected) == (4, 1, 1, 1, 1)
+    assert not counted
+    logged = {r["stage"]: r["rows_read"] for r in audit.log_of(warehouse).filter("run_id = 'r2'").collect()}
+    assert logged == {"dimensional_load": 4, "data_quality": 3}
+
+
 def test_latest_attributes_prefer_missing_update_time(silver):
     rows = silver(
         {"application_id": "1", "income_band": "a", "updated_timestamp": None},
