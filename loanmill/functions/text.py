@@ -26,6 +26,12 @@ def strip(c: Column) -> Column:
     return F.when(plain, short).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
 
 
+def given(value: Column, body) -> Column:
+    """`body(value)` with the value worked out once per row, however often the body looks at it: a lambda's argument
+    is not replaced by its definition, as a projected column may be."""
+    return F.transform(F.array(value), body)[0]
+
+
 def is_blank(c: Column) -> Column:
     """True for NULL and for white space only; never NULL."""
     blank = F.when(_printable(F.ascii(F.trim(c))), F.lit(False)).otherwise(F.btrim(c, F.lit(WHITE_SPACE)) == "")

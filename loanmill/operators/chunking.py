@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmill.functions import text as X
+from loanmill.functions.text import given
 from loanmill.rules import Rules
 
 # In the patterns, d makes only a line feed end a line and m lets ^ match at every line start.
@@ -54,17 +55,38 @@ def sections(documents: DataFrame) -> DataFrame:
     return named.filter("body <> ''")
 
 
+def _windows(body: Column, size: int, overlap: int) -> Column:
+    """Windows of `size` characters that step by `size - overlap` and cover the body to its end.
+
+    The body is cut once into pieces of one step; a window is a piece with the beginning of what follows, so the work
+    grows with the length of the body and not with its square.
+    """
+    step = size - overlap
+    ahead = -(-overlap // step)  # pieces that hold the overlap
+
+    def window(pieces: Column, piece: Column, i: Column) -> Column:
+        following = F.array_join(F.slice(pieces, i + 2, ahead), "") if ahead else F.lit("")
+        return F.concat(piece, F.substring(following, F.lit(1), F.lit(overlap)))
+
+    def joined(pieces: Column) -> Column:
+        windows = F.transform(pieces, lambda piece, i: window(pieces, piece, i))
+        # What lies within the overlap of the window before is no window of its own.
+        length = (F.size(pieces) - 1) * step + F.length(F.element_at(pieces, -1))
+        count = F.ceil((length - overlap) / F.lit(float(step))).cast("int")
+        return F.slice(windows, F.lit(1), F.greatest(count, F.lit(1)))
+
+    return given(F.regexp_extract_all(body, F.lit(f"(?s).{{1,{step}}}"), F.lit(0)), joined)
+
+
 def chunk(sectioned: DataFrame, size: int, overlap: int) -> DataFrame:
     """Add `part_no` (0-based), `parts` and `piece`: whole bodies up to `size` characters, else windows of
     `size` that step by `size - overlap`, covering the text to its end."""
-    step = size - overlap
-    length = F.length("body")
-    parts = F.when(length <= size, F.lit(1)).otherwise(F.ceil((length - overlap) / F.lit(float(step)))).cast("int")
-    numbered = sectioned.withColumn("parts", parts).withColumn(
-        "part_no", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    )
-    piece = F.substring(F.col("body"), F.col("part_no") * step + 1, F.lit(size))
-    return numbered.withColumn("piece", F.when(F.col("parts") == 1, F.col("body")).otherwise(piece)).drop("body")
+    if not 0 <= overlap < size:
+        raise ValueError("the overlap of chunks must be smaller than the chunks")
+    cut = F.when(F.length("body") <= size, F.array("body")).otherwise(_windows(F.col("body"), size, overlap))
+    # The number of parts goes with each part, so that the list of all is not copied along.
+    numbered = given(cut, lambda w: F.transform(w, lambda piece, i: F.struct(i.alias("part_no"), F.size(w).alias("parts"), piece.alias("piece"))))
+    return sectioned.withColumn("part", F.explode(numbered)).select(*[c for c in sectioned.columns if c != "body"], "part.*")
 
 
 def chunk_documents(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:

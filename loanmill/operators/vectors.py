@@ -2,46 +2,87 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanmill.functions.text import given
+from loanmill.session import scratch_path
 from loanmill.sources import files
 
-# A question block of at most this many vectors goes to every task; more questions are searched on a grid.
-QUESTION_BLOCK = 2048
-CHUNK_BLOCK = 16_384
+# Questions travel to the chunks in blocks of at most so many bytes.
+QUESTION_BYTES = 32 << 20
 # Scores are compared after rounding here, so the order of additions cannot change a ranking.
 SCORE_DIGITS = 9
+WORD = r"[\p{L}\p{N}_]+"
+FEATURES = 512
 
 
-def fit_encoder(df: DataFrame, text_col: str = "text", features: int = 512) -> PipelineModel:
-    """Default encoder: hashed counts of Unicode words, weighted by one plus the inverse document frequency, unit length."""
-    words = RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=r"(?U)\W+")
-    counts = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features)
-    rarity = IDF(inputCol="_tf", outputCol="_tfidf").fit(counts.transform(words.transform(df))).idf
-    weigh = ElementwiseProduct(inputCol="_tf", outputCol="_tfidf", scalingVec=Vectors.dense(rarity.toArray() + 1.0))
-    return PipelineModel([words, counts, weigh, Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0)])
+def _buckets(text: Column, features: int) -> Column:
+    """Sorted buckets of the words of a text, one entry per word: the first 32 bits of the word's MD5 modulo `features`."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    bucket = lambda w: (F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long") % features).cast("int")
+    return F.array_sort(F.transform(words, bucket))
+
+
+@dataclass(frozen=True)
+class WordEncoder:
+    """Hashed word counts, weighted by one plus the inverse document frequency, of unit length: column expressions
+    only. `weights` has one entry per bucket. Meant for texts of chunk size; the work grows with the square of a text's words."""
+
+    weights: tuple[float, ...]
+
+    def vector(self, text: Column) -> Column:
+        """Float array with an entry per bucket; all zero for a text without words, NULL for no text."""
+        features, weight = len(self.weights), F.lit(list(self.weights))
+
+        def dense(buckets: Column, distinct: Column) -> Column:
+            # Counting by removal stays in tight loops over small integer arrays.
+            count = lambda b: (F.size(buckets) - F.size(F.array_remove(buckets, b))).cast("double")
+            values = F.transform(distinct, lambda b: count(b) * F.get(weight, b))
+
+            def spaced(values: Column) -> Column:
+                norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, v: total + v * v))
+
+                def entry(b: Column, i: Column, norm: Column) -> Column:
+                    before = F.when(i == 0, F.lit(-1)).otherwise(F.get(distinct, i - 1))
+                    return F.concat(F.array_repeat(zero, b - before - 1), F.array((F.get(values, i) / norm).cast("float")))
+
+                filled = given(norm, lambda norm: F.flatten(F.transform(distinct, lambda b, i: entry(b, i, norm))))
+                last = F.coalesce(F.get(distinct, F.size(distinct) - 1), F.lit(-1))
+                return F.concat(filled, F.array_repeat(zero, F.lit(features - 1) - last))
+
+            return given(values, spaced)
+
+        zero = F.lit(0.0).cast("float")
+        encoded = given(_buckets(text, features), lambda b: given(F.array_distinct(b), lambda d: dense(b, d)))
+        return F.when(text.isNotNull(), encoded)
+
+
+def fit_encoder(df: DataFrame, text_col: str = "text", features: int = FEATURES) -> WordEncoder:
+    """Default encoder: the weight of each bucket from the number of texts that hold it, over all texts."""
+    held = F.concat(F.array(F.lit(-1)), F.array_distinct(_buckets(F.col(text_col), features)))
+    counts = df.filter(F.col(text_col).isNotNull()).select(F.explode(held).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    seen = {r["bucket"]: r["n"] for r in counts.collect()}  # a row per bucket, and the number of texts
+    texts = seen.get(-1, 0)
+    return WordEncoder(tuple(round(math.log((1 + texts) / (1 + seen.get(b, 0))) + 1, 6) for b in range(features)))
 
 
 def embed(df: DataFrame, encoder, text_col: str = "text") -> DataFrame:
     """Add `embedding`, a float array of unit length.
 
-    `encoder` is a fitted pipeline as above or any function DataFrame -> DataFrame that adds the column, such as a
+    `encoder` is fitted as above or any function DataFrame -> DataFrame that adds the column, such as a
     `mapInPandas` around a sentence model.
     """
-    if callable(encoder):
-        return encoder(df)
-    encoded = encoder.transform(df)
-    return encoded.select(*df.columns, vector_to_array("_unit").cast(T.ArrayType(T.FloatType())).alias("embedding"))
+    if isinstance(encoder, WordEncoder):
+        return df.withColumn("embedding", encoder.vector(F.col(text_col)))
+    return encoder(df)
 
 
 def write_index(df: DataFrame, path: str) -> None:
@@ -102,26 +143,57 @@ def _ranked(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def top_k(questions: DataFrame, chunks: DataFrame, k: int, question_block: int = QUESTION_BLOCK) -> DataFrame:
+def _blocks(questions: DataFrame, block_bytes: int) -> list[list[str]]:
+    """Written questions as groups of files, each group within `block_bytes` of vectors."""
+    spark, path = questions.sparkSession, scratch_path(questions.sparkSession, "questions")
+    width = questions.select(F.size("embedding").alias("d")).agg(F.max("d")).first()[0]
+    if width is None:
+        return []
+    rows = max(1, block_bytes // (8 * max(1, width)))
+    questions.write.option("maxRecordsPerFile", rows).parquet(path)
+    sizes = spark.read.schema(questions.schema).parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    out, filled = [], rows
+    for r in sizes.orderBy("file").collect():
+        if filled + r["n"] > rows:
+            out.append([])
+            filled = 0
+        out[-1].append(r["file"])
+        filled += r["n"]
+    return out
+
+
+def top_k(questions: DataFrame, chunks: DataFrame, k: int, block_bytes: int = QUESTION_BYTES) -> DataFrame:
     """(`question_id`, `chunk_id`, `score`, `rank`): the k chunks of highest inner product per question, ties by chunk id.
 
-    Inputs are (`question_id`, `embedding`) and (`chunk_id`, `embedding`). Pairs are scored as matrix
-    products inside tasks, and a task hands on no more than its k best per question. Up to `question_block` questions travel
-    to the chunks, which stay where they are; more are searched block against block, see `_grid`.
+    Inputs are (`question_id`, distinct, `embedding`) and (`chunk_id`, `embedding`). Chunks stay where they are, at any number of
+    questions: blocks of questions, bounded in bytes, travel to them one after the other. Pairs are scored as matrix
+    products, and a task keeps and hands on no more than its k best per question.
     """
-    questions = questions.filter(F.col("embedding").isNotNull())
-    chunks = chunks.filter(F.col("embedding").isNotNull())
-    block = questions.select("question_id", "embedding").limit(question_block + 1).toArrow()
-    if block.num_rows > question_block:
-        return _ranked(_grid(questions, chunks, k, question_block), k)
-    id_type = questions.schema["question_id"].dataType
-    chunk_type = chunks.schema["chunk_id"].dataType
+    spark = questions.sparkSession
+    questions = questions.filter(F.col("embedding").isNotNull()).select("question_id", "embedding")
+    chunks = chunks.filter(F.col("embedding").isNotNull()).select("chunk_id", "embedding")
     schema = T.StructType([
-        T.StructField("question_id", id_type), T.StructField("chunk_id", chunk_type), T.StructField("score", T.DoubleType())
+        T.StructField("question_id", questions.schema["question_id"].dataType),
+        T.StructField("chunk_id", chunks.schema["chunk_id"].dataType), T.StructField("score", T.DoubleType()),
     ])
-    if block.num_rows == 0:
-        return _ranked(questions.sparkSession.createDataFrame([], schema), k)
-    shared = questions.sparkSession.sparkContext.broadcast((block["question_id"].to_pylist(), _matrix(block["embedding"])))
+    blocks = _blocks(questions, block_bytes)
+    if not blocks:
+        return _ranked(spark.createDataFrame([], schema), k)
+    parts = []
+    for block in blocks:
+        found, shared = _block_search(spark.read.schema(questions.schema).parquet(*block).toArrow(), chunks, k, schema)
+        if len(blocks) == 1:
+            return _ranked(found, k)
+        path = scratch_path(spark, "nearest")
+        found.write.parquet(path)
+        shared.destroy()
+        parts.append(path)
+    return _ranked(spark.read.schema(schema).parquet(*parts), k)
+
+
+def _block_search(block: pa.Table, chunks: DataFrame, k: int, schema: T.StructType):
+    """(best of each task for one block of questions, the broadcast block)."""
+    shared = chunks.sparkSession.sparkContext.broadcast((block["question_id"].to_pylist(), _matrix(block["embedding"])))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, wanted = shared.value
@@ -132,43 +204,4 @@ def top_k(questions: DataFrame, chunks: DataFrame, k: int, question_block: int =
         if best.rows is not None:
             yield best.batch(names)
 
-    return _ranked(chunks.select("chunk_id", "embedding").mapInArrow(search, schema), k)
-
-
-def _grid(questions: DataFrame, chunks: DataFrame, k: int, question_block: int) -> DataFrame:
-    """Score block against block when the questions outgrow one block.
-
-    Both sides are cut into blocks by a hash of their id; each question block meets each chunk block in one
-    cell of a grid, by an equi-join on the cell. A cell holds one block of either side, so its memory does
-    not grow with the data; hashing ids spreads any set of copies over all blocks.
-    """
-    question_blocks = max(1, -(-2 * questions.count() // question_block))
-    chunk_blocks = max(1, -(-2 * chunks.count() // CHUNK_BLOCK))
-
-    def placed(df: DataFrame, key: str, own: str, own_count: int, other: str, other_count: int) -> DataFrame:
-        return df.select(key, "embedding", F.pmod(F.xxhash64(key), F.lit(own_count)).alias(own)).withColumn(
-            other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other_count - 1).cast("long")))
-        )
-
-    left = placed(questions, "question_id", "qb", question_blocks, "cb", chunk_blocks)
-    right = placed(chunks, "chunk_id", "cb", chunk_blocks, "qb", question_blocks)
-    schema = T.StructType([
-        T.StructField("question_id", questions.schema["question_id"].dataType),
-        T.StructField("chunk_id", chunks.schema["chunk_id"].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
-
-    def nothing(a: pa.Table, b: pa.Table) -> pa.Table:
-        return pa.table({
-            "question_id": a["question_id"].slice(0, 0), "chunk_id": b["chunk_id"].slice(0, 0),
-            "score": pa.array([], pa.float64()),
-        })
-
-    def cell(a: pa.Table, b: pa.Table) -> pa.Table:
-        if not a.num_rows or not b.num_rows:
-            return nothing(a, b)
-        best = _Best(k)
-        best.add(_scores(_matrix(a["embedding"]), _matrix(b["embedding"])), np.array(b["chunk_id"].to_pylist()))
-        return pa.Table.from_batches([best.batch(a["question_id"].to_pylist())])
-
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(cell, schema)
+    return chunks.mapInArrow(search, schema), shared

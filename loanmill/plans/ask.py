@@ -10,6 +10,9 @@ from loanmill.rules import NOT_FOUND, Rules
 from loanmill.session import written
 
 
+ROW = "_question_row"
+
+
 def build_index(documents: DataFrame, encoder=None, rules: Rules = Rules()):
     """(index, encoder): chunks of (`document`, `text`) rows with their vectors. Without an encoder the
     default one is fitted on the chunks."""
@@ -26,21 +29,24 @@ def split_questions(questions: DataFrame, rules: Rules = Rules()) -> tuple[DataF
 
 
 def ask(questions: DataFrame, index: DataFrame, encoder, rules: Rules = Rules()) -> DataFrame:
-    """One answer per row of (`question_id`, `question`, …), other columns kept.
+    """One answer per row of (`question_id`, `question`, …), other columns kept; ids may repeat or be NULL.
 
     Both sides are encoded once, searched exactly, and only the winning chunks' texts are fetched. A question that is too
     short or too long is not asked, but answered as not found, with `refusal_reason`; so is one without any passage,
     which has no reason.
     """
+    # Rows are told apart by a number of their own, fixed by writing it.
+    columns = questions.columns
+    questions = written(questions.withColumn(ROW, F.monotonically_increasing_id()), "questions")
     askable, _ = split_questions(questions, rules)
-    asked = vectors.embed(askable.select("question_id", F.col("question").alias("text")), encoder)
+    asked = vectors.embed(askable.select(F.col(ROW).alias("question_id"), F.col("question").alias("text")), encoder)
     key = F.col("chunk_key").alias("chunk_id")
     found = vectors.top_k(asked.select("question_id", "embedding"), index.select(key, "embedding"), rules.top_k)
     passages = found.withColumnRenamed("chunk_id", "chunk_key").join(index.drop("embedding"), "chunk_key")
     composed = answers.compose(passages, rules.min_score, rules.max_passages)
     low, high = rules.question_chars
     fits = F.coalesce(F.length("question").between(low, high), F.lit(False))
-    found = questions.join(composed, "question_id", "left")
+    found = questions.join(composed.withColumnRenamed("question_id", ROW), ROW, "left").select(*columns, *composed.columns[1:])
     empty = {name: F.array().cast(composed.schema[name].dataType) for name in ("citations", "retrieved_passages")}
     return found.withColumns({
         "answer": F.coalesce("answer", F.lit(NOT_FOUND)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmill import schemas
@@ -32,6 +32,7 @@ VIEW_FILTER = ViewFilter(
     statuses=("Approved", "Denied"), risks=("High risk",),
 )
 VECTOR_RULES = Rules(min_score=0.3)
+ASK_RULES = Rules(min_score=0.5)
 
 
 def query(job: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
@@ -500,10 +501,6 @@ def latest_run_stages(lake: Lake) -> DataFrame:
 # -- documents and retrieval ------------------------------------------------------------------------------
 
 
-def _documents(lake: Lake) -> DataFrame:
-    return lake.table("documents").select(F.col("doc_id").cast("string").alias("document"), "text")
-
-
 def _markdown(lake: Lake) -> DataFrame:
     """Every document in Markdown form: a title, and a heading wherever a sentence ends inside a line."""
     body = F.regexp_replace("text", r"[.] (\w+) ", ".\n## $1\n")
@@ -519,39 +516,46 @@ def doc_sections(lake: Lake) -> DataFrame:
 
 @query
 def doc_chunks(lake: Lake) -> DataFrame:
-    return chunking.chunk_documents(_documents(lake)).drop("chunk_key")
+    return chunking.chunk_documents(lake.plain_documents).drop("chunk_key")
 
 
-def _neighbours(lake: Lake) -> DataFrame:
-    vectors_of = lake.table("embeddings")
-    return vectors.top_k(
-        vectors_of.select(F.col("vec_id").alias("question_id"), "embedding"),
-        vectors_of.select(F.col("vec_id").alias("chunk_id"), "embedding"),
-        VECTOR_RULES.top_k,
-    )
+def _vectors(lake: Lake, name: str) -> DataFrame:
+    return lake.table("embeddings").select(F.col("vec_id").alias(name), "embedding")
 
 
 @query
 def vector_topk(lake: Lake) -> DataFrame:
     """The four nearest vectors of every vector."""
-    return _neighbours(lake).select("question_id", "chunk_id", "rank", round_even(F.col("score"), 4).alias("score"))
+    found = vectors.top_k(_vectors(lake, "question_id"), _vectors(lake, "chunk_id"), VECTOR_RULES.top_k)
+    return found.select("question_id", "chunk_id", "rank", round_even(F.col("score"), 4).alias("score"))
+
+
+@query
+def vector_topk_blocks(lake: Lake) -> DataFrame:
+    """The same with question blocks of 64 kB, which makes several of them."""
+    found = vectors.top_k(_vectors(lake, "question_id"), _vectors(lake, "chunk_id"), VECTOR_RULES.top_k, 1 << 16)
+    return found.select("question_id", "chunk_id", "rank", round_even(F.col("score"), 4).alias("score"))
+
+
+def _cited(citations: str) -> Column:
+    one = lambda c: F.concat_ws("|", c["document_name"], c["section_title"], F.format_number(c["similarity_score"], 4))
+    return F.array_join(F.transform(citations, one), ";")
 
 
 @query
 def answer_compose(lake: Lake) -> DataFrame:
-    """Answers put together from each vector's nearest documents (vector n stands for document n)."""
-    documents = lake.table("documents").select(
-        F.col("doc_id").alias("chunk_id"), F.col("source").alias("document_name"), F.col("lang").alias("section_title"), "text"
-    )
-    composed = answers.compose(
-        _neighbours(lake).join(documents, "chunk_id"), VECTOR_RULES.min_score, VECTOR_RULES.max_passages
-    )
-    cited = F.transform(
-        "citations", lambda c: F.concat_ws("|", c["document_name"], c["section_title"], F.format_number(c["similarity_score"], 4))
+    """Answers put together from the passages nearest to each vector. Passages are all documents, which share out the vectors by id, and
+    all vectors that are left without a document, as passages without text."""
+    number = F.col("doc_id") % lake.table("embeddings").count()
+    documents = lake.table("documents").select(number.alias("vec_id"), "doc_id", "source", "lang", "text")
+    passages = lake.table("embeddings").select("vec_id", "embedding").join(documents, "vec_id", "left").select(
+        F.coalesce("doc_id", -1 - F.col("vec_id")).alias("chunk_id"), "embedding", F.coalesce("source", F.lit("none")).alias("document_name"),
+        F.coalesce("lang", F.lit("none")).alias("section_title"), F.coalesce("text", F.lit("")).alias("text"),
     )
+    found = vectors.top_k(_vectors(lake, "question_id"), passages, VECTOR_RULES.top_k)
+    composed = answers.compose(found.join(passages.drop("embedding"), "chunk_id"), VECTOR_RULES.min_score, VECTOR_RULES.max_passages)
     return composed.select(
-        "question_id", "answer", "is_answerable", F.array_join(cited, ";").alias("citations"),
-        F.size("retrieved_passages").alias("passages"),
+        "question_id", "answer", "is_answerable", _cited("citations").alias("citations"), F.size("retrieved_passages").alias("passages")
     )
 
 
@@ -565,11 +569,27 @@ def refused_questions(lake: Lake) -> DataFrame:
 
 @query
 def batch_ask(lake: Lake) -> DataFrame:
-    """Every benchmark passage asked against an index of all documents."""
-    index, encoder = ask.build_index(_documents(lake))
-    index = written(index, "index")
-    questions = lake.table("benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
-    return ask.ask(questions, index, encoder).select(
-        "question_id", "question", "is_answerable", F.length("answer").alias("answer_chars"),
-        F.size("citations").alias("citations"), F.size("retrieved_passages").alias("passages"),
+    """Every benchmark passage and every document asked against an index of all documents; those of the wrong length are refused."""
+    index, encoder = lake.index
+    questions = lake.table("benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question")).unionByName(
+        lake.table("documents").select(F.col("doc_id").alias("question_id"), F.col("text").alias("question"))
     )
+    return ask.ask(questions, index, encoder, ASK_RULES).select(
+        "question_id", "question", "answer", "is_answerable", _cited("citations").alias("citations"),
+        F.size("retrieved_passages").alias("passages"), "refusal_reason",
+    )
+
+
+@query
+def evaluation_rates(lake: Lake) -> DataFrame:
+    """Share of answered questions by category: benchmark passages as they are, their first words, read backwards, and too short ones."""
+    index, encoder = lake.index
+    asked = F.array(*[
+        F.struct(F.lit(category).alias("category"), question.alias("question"))
+        for category, question in (
+            ("direct", F.col("text")), ("ambiguous", F.substring("text", 1, 24)), ("unanswerable", F.reverse("text")), ("too short", F.substring("text", 1, 2)),
+        )
+    ])
+    questions = lake.table("benchmark").select(F.col("item_id").alias("question_id"), F.lit(None).cast("string").alias("expected_answer"), F.explode(asked).alias("q"))
+    results = ask.evaluate(questions.select("question_id", "expected_answer", "q.*"), index, encoder, ASK_RULES)
+    return answers.answerable_rates(results.withColumnRenamed("is_answerable_by_system", "is_answerable"))

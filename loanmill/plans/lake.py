@@ -13,7 +13,7 @@ from loanmill.operators import cleansing as C
 from loanmill.operators import dimensions as D
 from loanmill.operators import incremental as I
 from loanmill.operators.incremental import load_gold
-from loanmill.plans import load
+from loanmill.plans import ask, load
 from loanmill.plans.star import Star
 from loanmill.session import configure, scratch_path, written
 from loanmill.sources import star_feed
@@ -121,6 +121,16 @@ class Lake:
         load_gold(self.warehouse, self.silver, self.rules, "run-1", star_feed.JSON_TIME)
         return Star.load(self.warehouse)
 
+    @property
+    def plain_documents(self) -> DataFrame:
+        return self.table("documents").select(F.col("doc_id").cast("string").alias("document"), "text")
+
+    @cached_property
+    def index(self):
+        """(index of all documents, its encoder)."""
+        index, encoder = ask.build_index(self.plain_documents)
+        return written(index, "index"), encoder
+
     @cached_property
     def first_delivery(self) -> Warehouse:
         """A warehouse that has seen only the first file."""

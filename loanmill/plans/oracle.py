@@ -373,6 +373,73 @@ nearest AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS rank FROM scored)
   WHERE rank <= 4
 )"""
+PASSAGES = """
+passages AS (
+  SELECT coalesce(doc_id, -1 - vec_id) AS chunk_id, embedding, coalesce(source, 'none') AS document_name, coalesce(lang, 'none') AS section_title,
+    coalesce(text, '') AS text
+  FROM embeddings LEFT JOIN documents ON doc_id % (SELECT COUNT(*) FROM embeddings) = vec_id
+),
+scored AS (
+  SELECT q.vec_id AS question_id, c.* EXCLUDE (embedding), round(list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 9) AS score
+  FROM embeddings q, passages c
+)"""
+
+
+def composed(min_score: float) -> str:
+    """Answers from `scored` (question_id, chunk_id, document_name, section_title, text, score)."""
+    return f""",
+found AS (
+  SELECT *, score >= {min_score}::DOUBLE AS relevant FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS rank FROM scored) WHERE rank <= 4
+),
+firsts AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY question_id, relevant, document_name, section_title ORDER BY rank) AS again FROM found),
+chosen AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY question_id ORDER BY rank) AS place FROM firsts WHERE relevant AND again = 1),
+composed AS (
+  SELECT p.question_id, coalesce(string_agg(c.text, chr(10) || chr(10) ORDER BY p.rank), '{NOT_FOUND.replace("'", "''")}') AS answer,
+    COUNT(c.text) > 0 AS is_answerable,
+    coalesce(string_agg(c.document_name || '|' || c.section_title || '|' || format('{{:.4f}}', round_even(c.score, 4)), ';' ORDER BY p.rank), '') AS citations,
+    CAST(COUNT(*) AS INTEGER) AS passages
+  FROM found p LEFT JOIN (SELECT * FROM chosen WHERE place <= 2) c ON c.question_id = p.question_id AND c.rank = p.rank
+  GROUP BY p.question_id
+)"""
+
+
+# Words hashed to 512 buckets by their MD5, weighted by rarity over all chunks, unit length, compared in single precision.
+def buckets(rows: str) -> str:
+    return f"""SELECT id, b, COUNT(*) AS n FROM (
+      SELECT id, ('0x' || substr(md5(unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'))), 1, 8))::BIGINT % 512 AS b FROM {rows}) GROUP BY ALL"""
+
+
+def weighted(counts: str) -> str:
+    return f"""SELECT id, b, (n * w / sqrt(SUM(n * w * n * w) OVER (PARTITION BY id)))::FLOAT::DOUBLE AS v FROM {counts} JOIN weights USING (b)"""
+
+
+def asked(questions: str) -> str:
+    """Scores of all pairs of `questions` (id, question) of the right length and chunks, and answers of all questions."""
+    return f"""
+questions AS ({questions}),
+askable AS (SELECT id, question AS text FROM questions WHERE length(question) BETWEEN 3 AND 500),""" + PLAIN + SECTIONS + CHUNKS + f""",
+passages AS (
+  SELECT printf('%s#%06d.%06d', document, section_no, i) AS id, title AS document_name,
+    section_title || CASE WHEN n > 1 THEN ' (part ' || (i + 1) || ')' ELSE '' END AS section_title,
+    title || ' — ' || section_title || chr(10) || substr(body, i * 750 + 1, 900) AS text
+  FROM pieces
+),
+chunk_counts AS ({buckets("passages")}),
+question_counts AS ({buckets("askable")}),
+weights AS (
+  SELECT b, round(ln((1.0::DOUBLE + (SELECT COUNT(*) FROM passages)) / (1.0::DOUBLE + held)) + 1.0::DOUBLE, 6) AS w
+  FROM (SELECT r.b, COUNT(c.id) AS held FROM (SELECT unnest(range(512)) AS b) r LEFT JOIN chunk_counts c USING (b) GROUP BY r.b)
+),
+chunk_vectors AS ({weighted("chunk_counts")}),
+question_vectors AS ({weighted("question_counts")}),
+products AS (
+  SELECT q.id AS question_id, c.id AS chunk_id, SUM(q.v * c.v) AS score FROM question_vectors q JOIN chunk_vectors c USING (b) GROUP BY ALL
+),
+scored AS (
+  SELECT q.id AS question_id, p.id AS chunk_id, p.document_name, p.section_title, p.text, round(coalesce(s.score, 0), 9) AS score
+  FROM askable q CROSS JOIN passages p LEFT JOIN products s ON s.question_id = q.id AND s.chunk_id = p.id
+)""" + composed(0.5)
 
 
 def _with(prefix: str, body: str) -> str:
@@ -569,16 +636,20 @@ def oracle() -> dict[str, str]:
             title || ' — ' || section_title || chr(10) || substr(body, i * 750 + 1, 900) AS text FROM pieces"""),
         "vector_topk": _with(NEIGHBOURS, """SELECT question_id, chunk_id, CAST(rank AS INTEGER) AS rank,
             round_even(score, 4) AS score FROM nearest"""),
-        "answer_compose": _with(NEIGHBOURS, f""", passages AS (
-              SELECT question_id, rank, score, source, lang, text, score >= 0.3::DOUBLE AS relevant
-              FROM nearest JOIN documents ON doc_id = chunk_id),
-            firsts AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY question_id, relevant, source, lang ORDER BY rank) AS again FROM passages),
-            chosen AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY question_id ORDER BY rank) AS place FROM firsts WHERE relevant AND again = 1)
-            SELECT p.question_id, coalesce(string_agg(c.text, chr(10) || chr(10) ORDER BY p.rank), '{NOT_FOUND.replace("'", "''")}') AS answer,
-              COUNT(c.text) > 0 AS is_answerable,
-              coalesce(string_agg(c.source || '|' || c.lang || '|' || format('{{:.4f}}', round_even(c.score, 4)), ';' ORDER BY p.rank), '') AS citations,
-              CAST(COUNT(*) AS INTEGER) AS passages
-            FROM passages p LEFT JOIN (SELECT * FROM chosen WHERE place <= 2) c ON c.question_id = p.question_id AND c.rank = p.rank
-            GROUP BY p.question_id"""),
+        "vector_topk_blocks": _with(NEIGHBOURS, """SELECT question_id, chunk_id, CAST(rank AS INTEGER) AS rank,
+            round_even(score, 4) AS score FROM nearest"""),
+        "answer_compose": _with(PASSAGES + composed(0.3), "SELECT * FROM composed"),
+        "batch_ask": _with(asked("SELECT 'b' || item_id AS id, item_id AS question_id, text AS question FROM benchmark "
+                                 "UNION ALL SELECT 'd' || doc_id, doc_id, text FROM documents"), f"""
+            SELECT q.question_id, q.question, coalesce(c.answer, '{NOT_FOUND.replace("'", "''")}') AS answer, coalesce(c.is_answerable, false) AS is_answerable,
+              coalesce(c.citations, '') AS citations, coalesce(c.passages, 0) AS passages,
+              CASE WHEN coalesce(length(q.question) NOT BETWEEN 3 AND 500, true) THEN 'a question has 3 to 500 characters' END AS refusal_reason
+            FROM questions q LEFT JOIN composed c ON c.question_id = q.id"""),
+        "evaluation_rates": _with(asked("""SELECT c || item_id AS id, c AS category,
+              CASE c WHEN 'direct' THEN text WHEN 'ambiguous' THEN substr(text, 1, 24) WHEN 'unanswerable' THEN reverse(text) ELSE substr(text, 1, 2) END AS question
+            FROM benchmark, unnest(['direct', 'ambiguous', 'unanswerable', 'too short']) AS t(c)"""), """
+            SELECT category, COUNT(*) AS questions, COUNT(*) FILTER (is_answerable) AS answered,
+              100.0::DOUBLE * COUNT(*) FILTER (is_answerable) / COUNT(*) AS answered_pct
+            FROM questions q LEFT JOIN composed c ON c.question_id = q.id GROUP BY category"""),
     }
     return {name: _finish(text) for name, text in sql.items()}

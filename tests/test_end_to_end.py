@@ -35,8 +35,8 @@ def test_query_equals_sql(spark, con, name):
         assert compare.differences(df, con, sql) == []
 
 
-def test_only_the_encoder_query_has_no_sql():
-    assert set(CATALOG) - set(oracle()) == {"batch_ask"}
+def test_every_query_has_sql():
+    assert set(CATALOG) == set(oracle())
     assert set(CATALOG) <= set(entry_point.queries()) and set(oracle()) <= set(entry_point.oracle_sql())
 
 

@@ -1,3 +1,9 @@
+import hashlib
+import math
+import re
+from collections import Counter
+from time import perf_counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +49,35 @@ def test_windows_cover_the_text_exactly_as_a_sliding_cut(spark, length):
     assert rows[0]["text"].startswith("d — Overview\n")
 
 
+@pytest.mark.parametrize("size, overlap", [(10, 0), (10, 3), (10, 5), (10, 9), (3, 2), (1, 0)])
+def test_windows_of_any_overlap(spark, size, overlap):
+    bodies = ["".join(chr(97 + i % 26) for i in range(n - 1)) + "\U0001f600" for n in (1, 2, 3, 9, 10, 11, 13, 19, 20, 21, 37)]
+    for (body,), rows in zip(
+        [(b,) for b in bodies],
+        [chunking.chunk(spark.createDataFrame([(b,)], "body string"), size, overlap).orderBy("part_no").collect() for b in bodies],
+    ):
+        expected, start = [], 0
+        while True:
+            expected.append(body[start : start + size])
+            if start + size >= len(body):
+                break
+            start += size - overlap
+        assert [(r["part_no"], r["parts"], r["piece"]) for r in rows] == [(i, len(expected), piece) for i, piece in enumerate(expected)]
+
+
+def test_long_documents_take_time_in_proportion(spark):
+    body = "0123456789" * 400_000  # the square of its 5,333 windows would be minutes
+
+    def seconds(size):
+        begin = perf_counter()
+        row = chunking.chunk_documents(documents(spark, ("d", body[:size]))).agg(F.count("text"), F.max(F.length("text"))).first()
+        assert row[0] == -(-(size - 150) // 750)
+        return perf_counter() - begin
+
+    seconds(10_000)
+    assert seconds(4_000_000) < 30
+
+
 def test_documents_are_named_by_file_stem(spark, tmp_path):
     (tmp_path / "high.risk.md").write_text("# T\nline one\nline two", encoding="utf-8")
     assert [tuple(r) for r in chunking.read_documents(spark, f"{tmp_path}/*.md").collect()] == [("high.risk", "# T\nline one\nline two")]
@@ -52,7 +87,7 @@ def _vectors(spark, name, matrix, ids):
     return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, matrix)], f"{name} string, embedding array<float>")
 
 
-@pytest.mark.parametrize("block", [vectors.QUESTION_BLOCK, 4])
+@pytest.mark.parametrize("block", [vectors.QUESTION_BYTES, 4 * 8 * 8, 1])
 def test_search_equals_brute_force(spark, block):
     rng = np.random.default_rng(7)
     chunks, questions = rng.normal(size=(90, 8)).astype(np.float32), rng.normal(size=(9, 8)).astype(np.float32)
@@ -77,6 +112,37 @@ def test_search_with_fewer_chunks_than_k_and_without_questions(spark):
     assert vectors.top_k(chunks.select(F.col("chunk_id").alias("question_id"), "embedding").filter("false"), chunks, 4).count() == 0
 
 
+def test_encoder_equals_plain_python(spark):
+    texts = ["The cat sat on the mat.", "naïve Straße_1 的 的 x² naïve", "", "?!", None, "a " * 300, "cat " * 3 + "dog"]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    encoder = vectors.fit_encoder(frame, features=32)
+
+    def bucket(word):
+        return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % 32
+
+    counts = [None if t is None else Counter(bucket(w) for w in re.findall(r"[^\W]+", t.lower())) for t in texts]
+    held = Counter(b for c in counts if c is not None for b in c)
+    weights = [math.log(7 / (1 + held[b])) + 1 for b in range(32)]
+    assert encoder.weights == pytest.approx(weights, abs=1e-6)
+    for r in vectors.embed(frame, encoder).collect():
+        if counts[r["k"]] is None:
+            assert r["embedding"] is None
+            continue
+        raw = np.array([counts[r["k"]][b] * weights[b] for b in range(32)])
+        assert r["embedding"] == pytest.approx(raw / (np.linalg.norm(raw) or 1.0), abs=1e-6)
+
+
+def test_repeated_and_missing_question_ids_get_their_own_answers(spark):
+    index, encoder = ask.build_index(documents(spark, ("a", "## S\napples grow on trees"), ("b", "## S\nboats float on water")))
+    rows = [("1", "apples grow on trees"), ("1", "boats float on water"), (None, "boats float"), (None, "x"), ("1", "apples grow on trees")]
+    questions = spark.createDataFrame(rows, "question_id string, question string")
+    got = ask.ask(questions, index, encoder, Rules(min_score=0.4, max_passages=1))
+    assert got.columns[:2] == ["question_id", "question"]
+    found = sorted((str(r["question_id"]), r["question"], r["answer"].split("\n")[-1]) for r in got.collect())
+    apples, boats = ("1", "apples grow on trees", "apples grow on trees"), "boats float on water"
+    assert found == sorted([apples, apples, ("1", boats, boats), ("None", "boats float", boats), ("None", "x", NOT_FOUND)])
+
+
 def test_compose(spark):
     rows = [
         ("q1", 1, 0.91234, "Doc A", "S1", "first"), ("q1", 2, 0.9, "Doc A", "S1", "same section"),
