@@ -13,7 +13,7 @@ from loanmill.functions.hashing import fingerprint
 from loanmill.functions.numbers import count_if, moment
 from loanmill.operators import dimensions as D
 from loanmill.rules import Rules
-from loanmill.session import measured
+from loanmill.session import measured, scratch_path
 from loanmill.sources import files
 from loanmill.sources.audit import stage, utc_now
 from loanmill.sources.tables import MONTH, Warehouse, month_of
@@ -92,7 +92,7 @@ def load_gold(
             warehouse.replace_months(None, rows)
             counts.rows_new = seen.get["n"]
         else:
-            path = warehouse.scratch("changed")
+            path = scratch_path(spark, "changed")
             rows, seen = measured(
                 changed, new=count_if(F.col("change_type") == NEW), updated=count_if(F.col("change_type") == UPDATED)
             )

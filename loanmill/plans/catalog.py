@@ -354,17 +354,17 @@ def match_counts(lake: Lake) -> DataFrame:
 
 @query
 def by_state(lake: Lake) -> DataFrame:
-    return _rounded(portfolio.by_state(lake.star.portfolio_view()), "avg_loan_amount")
+    return _rounded(lake.breakdowns.by_state(), "avg_loan_amount")
 
 
 @query
 def by_lender(lake: Lake) -> DataFrame:
-    return portfolio.by_lender(lake.star.portfolio_view())
+    return lake.breakdowns.by_lender()
 
 
 @query
 def by_product(lake: Lake) -> DataFrame:
-    return _rounded(portfolio.by_product(lake.star.portfolio_view()), "loan_volume")
+    return _rounded(lake.breakdowns.by_product(), "loan_volume")
 
 
 @query
@@ -389,7 +389,7 @@ def ltv_histogram(lake: Lake) -> DataFrame:
 
 @query
 def filter_domains(lake: Lake) -> DataFrame:
-    return portfolio.filter_domains(lake.star.portfolio_view())
+    return lake.breakdowns.filter_domains()
 
 
 @query
@@ -439,6 +439,23 @@ def dq_checks(lake: Lake) -> DataFrame:
     return _checks(lake)
 
 
+@query
+def dq_checks_failing(lake: Lake) -> DataFrame:
+    """The checks on a fact table with planted faults of every kind, and with each reject three times."""
+    star, ends = lake.star, lambda *tails: F.col("application_id").rlike(f"({'|'.join(tails)})$")
+    damaged = star.fact.withColumns({
+        "application_status": F.when(ends("7-1"), "Pending").otherwise(F.col("application_status")),
+        "loan_amount": F.when(ends("8-2"), -F.col("loan_amount")).otherwise(F.col("loan_amount")),
+        "loan_to_value_ratio": F.when(ends("9-1"), 5.0).otherwise(F.col("loan_to_value_ratio")),
+        "applicant_income": F.when(~ends("5-1"), F.col("applicant_income")),
+        "application_date": F.when(ends("4-2"), F.lit("2050-01-01").cast("timestamp_ntz")).otherwise(F.col("application_date")),
+        "lender_key": F.when(ends("6-1"), -1).otherwise(F.col("lender_key")),
+    })
+    twice = damaged.unionByName(damaged.filter(ends("3-3")))
+    rejects = lake.rejects.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    return quality.quality_checks(twice, lake.silver, lake.bronze, rejects, star.dims, lake.rules, star_feed.JSON_TIME)
+
+
 @query
 def dq_rollup(lake: Lake) -> DataFrame:
     return quality.rollup(_checks(lake))
@@ -471,6 +488,19 @@ def profile_columns(lake: Lake) -> DataFrame:
     )
 
 
+@query
+def profile_sketch(lake: Lake) -> DataFrame:
+    """The profile of each file, merged; distinct counts as approximations that lie within 5 % of the exact ones."""
+    parts = [profiling.sketch_profile(lake.bronze.filter(F.col("_source_file") == f)) for f in (star_feed.CSV_FILE, star_feed.JSON_FILE)]
+    merged = profiling.merge_profiles(written(parts[0].unionByName(parts[1]), "profiles"))
+    exact = profiling.profile(lake.bronze).select("position", F.col("distinct_count").alias("exact"))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= F.lit(0.05) * F.col("exact")
+    return merged.join(exact, "position").select(
+        "position", "column_name", "record_count", "null_count", "null_pct", near.alias("distinct_within_bound"), "distinct_is_approximate",
+        "invalid_value_count", "min_number", "max_number", round_away(F.col("mean"), 4).alias("mean"),
+    )
+
+
 @query
 def profile_row_counts(lake: Lake) -> DataFrame:
     return profiling.row_counts(lake.bronze)
@@ -481,6 +511,15 @@ def profile_concerns(lake: Lake) -> DataFrame:
     return profiling.concerns(profiling.profile(lake.bronze), profiling.row_counts(lake.bronze))
 
 
+@query
+def run_log(lake: Lake) -> DataFrame:
+    """The stages that this warehouse's load has logged."""
+    assert lake.star
+    return audit.latest_run(audit.log_of(lake.warehouse)).select(
+        "run_id", "stage", "status", "rows_read", "rows_new", "rows_updated", "rows_unchanged", "rows_rejected", "error_message"
+    )
+
+
 @query
 def latest_run_stages(lake: Lake) -> DataFrame:
     """The events table read as an execution log: user = run, event type = stage."""

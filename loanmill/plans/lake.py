@@ -14,6 +14,7 @@ from loanmill.operators import dimensions as D
 from loanmill.operators import incremental as I
 from loanmill.operators.incremental import load_gold
 from loanmill.plans import ask, load
+from loanmill.plans.portfolio import Breakdowns
 from loanmill.plans.star import Star
 from loanmill.session import configure, scratch_path, written
 from loanmill.sources import star_feed
@@ -121,6 +122,10 @@ class Lake:
         load_gold(self.warehouse, self.silver, self.rules, "run-1", star_feed.JSON_TIME)
         return Star.load(self.warehouse)
 
+    @cached_property
+    def breakdowns(self) -> Breakdowns:
+        return Breakdowns.of(self.star)
+
     @property
     def plain_documents(self) -> DataFrame:
         return self.table("documents").select(F.col("doc_id").cast("string").alias("document"), "text")

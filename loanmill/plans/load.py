@@ -18,7 +18,7 @@ from loanmill.operators.derive import derive, silver_projection
 from loanmill.operators.incremental import LoadResult, load_gold
 from loanmill.plans.star import Star
 from loanmill.rules import Rules
-from loanmill.session import measured, side_by_side, written
+from loanmill.session import measured, own_scratch, side_by_side, written
 from loanmill.sources import feeds, files
 from loanmill.sources.audit import stage, utc_now
 from loanmill.sources.tables import Warehouse
@@ -107,8 +107,15 @@ class RunResult:
 def run_all(
     spark: SparkSession, root: str, sources: Sequence[feeds.Source], rules: Rules, now: datetime | None = None
 ) -> RunResult:
-    """Ingest, profile, transform, load the star and check it, in that order, each stage logged."""
+    """Ingest, profile, transform, load the star and check it, in that order, each stage logged. Intermediate tables go with the run."""
     run_id, now = str(uuid.uuid4()), now or utc_now()
+    with own_scratch(spark, run_id):
+        return _run_all(spark, root, sources, rules, now, run_id)
+
+
+def _run_all(
+    spark: SparkSession, root: str, sources: Sequence[feeds.Source], rules: Rules, now: datetime, run_id: str
+) -> RunResult:
     warehouse, landing = Warehouse(spark, root), feeds.Landing(spark, f"{root.rstrip('/')}/bronze_loan_application")
     seconds: dict[str, float] = {}
 

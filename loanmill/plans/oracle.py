@@ -385,6 +385,48 @@ scored AS (
 )"""
 
 
+DAMAGED = """,
+damaged AS (
+  SELECT application_id,
+    CASE WHEN application_id LIKE '%7-1' THEN 'Pending' ELSE application_status END AS application_status,
+    CASE WHEN application_id LIKE '%8-2' THEN -loan_amount ELSE loan_amount END AS loan_amount,
+    CASE WHEN application_id LIKE '%9-1' THEN 5 ELSE loan_to_value_ratio END AS loan_to_value_ratio, debt_to_income_ratio,
+    CASE WHEN application_id NOT LIKE '%5-1' THEN applicant_income END AS applicant_income, property_value,
+    CASE WHEN application_id LIKE '%4-2' THEN TIMESTAMP '2050-01-01' ELSE application_date END AS application_date,
+    application_id LIKE '%6-1' AS lost
+  FROM fact, unnest(CASE WHEN application_id LIKE '%3-3' THEN [1, 2] ELSE [1] END)
+),
+measures AS (
+  SELECT COUNT(*) AS facts, COUNT(*) - COUNT(DISTINCT application_id) AS duplicates, COUNT(*) FILTER (application_status IS NULL) AS no_status,
+    COUNT(*) FILTER (applicant_income IS NULL) AS no_income, COUNT(*) FILTER (loan_amount IS NULL) AS no_loan, COUNT(*) FILTER (property_value IS NULL) AS no_value,
+    COUNT(*) FILTER (application_date < TIMESTAMP '1995-01-01' OR application_date > TIMESTAMP '2002-01-03') AS dates,
+    COUNT(*) FILTER (application_status IS NULL OR application_status NOT IN ('Approved', 'Denied', 'Withdrawn', 'Incomplete')) AS statuses,
+    COUNT(*) FILTER (loan_amount <= 0 OR applicant_income <= 0 OR property_value <= 0) AS negatives,
+    COUNT(*) FILTER (debt_to_income_ratio NOT BETWEEN 0 AND 1 OR loan_to_value_ratio NOT BETWEEN 0 AND 2) AS ratios,
+    COUNT(*) FILTER (lost) AS lost, (SELECT COUNT(DISTINCT application_id) FROM silver) AS silvers, (SELECT COUNT(*) FROM bronze) AS bronzes,
+    (SELECT 3 * COUNT(*) FROM checked WHERE reject_reason IS NOT NULL) AS rejected
+  FROM damaged
+),
+checks AS (
+  SELECT 1 AS position, 'required_columns_present' AS name, true AS passed, 'all required columns present' AS details
+  UNION ALL SELECT 2, 'no_nulls_in_required_columns', no_status + no_income + no_loan + no_value = 0,
+    CASE WHEN no_status + no_income + no_loan + no_value = 0 THEN 'no nulls found' ELSE 'null counts: {' || concat_ws(', ',
+      CASE WHEN no_loan > 0 THEN chr(39) || 'loan_amount' || chr(39) || ': ' || no_loan END, CASE WHEN no_income > 0 THEN chr(39) || 'applicant_income' || chr(39) || ': ' || no_income END,
+      CASE WHEN no_value > 0 THEN chr(39) || 'property_value' || chr(39) || ': ' || no_value END,
+      CASE WHEN no_status > 0 THEN chr(39) || 'application_status' || chr(39) || ': ' || no_status END) || '}' END FROM measures
+  UNION ALL SELECT 3, 'no_duplicate_application_ids', duplicates = 0, CASE WHEN duplicates = 0 THEN 'no duplicates' ELSE duplicates || ' duplicate application_id(s) found' END FROM measures
+  UNION ALL SELECT 4, 'valid_date_ranges', dates = 0, CASE WHEN dates = 0 THEN 'all dates in range' ELSE dates || ' row(s) outside [1995-01-01, 2002-01-03]' END FROM measures
+  UNION ALL SELECT 5, 'accepted_status_values', statuses = 0, CASE WHEN statuses = 0 THEN 'all statuses valid' ELSE statuses || ' row(s) with unrecognized status' END FROM measures
+  UNION ALL SELECT 6, 'positive_loan_and_income_values', negatives = 0, CASE WHEN negatives = 0 THEN 'all positive' ELSE negatives || ' row(s) with non-positive financial values' END FROM measures
+  UNION ALL SELECT 7, 'dti_ltv_within_range', ratios = 0, CASE WHEN ratios = 0 THEN 'all within range' ELSE ratios || ' row(s) with out-of-range DTI/LTV' END FROM measures
+  UNION ALL SELECT 8, 'referential_integrity', lost = 0, CASE WHEN lost = 0 THEN 'all foreign keys resolve' ELSE lost || ' orphaned fact row reference(s)' END FROM measures
+  UNION ALL SELECT 9, 'source_to_target_row_reconciliation', silvers = facts,
+    CASE WHEN silvers = facts THEN 'silver=' || silvers || ', fact=' || facts || ' (match)' ELSE 'MISMATCH: silver=' || silvers || ', fact=' || facts END FROM measures
+  UNION ALL SELECT 10, 'rejected_record_rate_within_threshold', rejected / bronzes <= 0.15::DOUBLE,
+    'rejected ' || rejected || '/' || bronzes || ' (' || format('{:.2f}', 100.0::DOUBLE * rejected / bronzes) || '%), threshold 15%' FROM measures
+)"""
+
+
 def composed(min_score: float) -> str:
     """Answers from `scored` (question_id, chunk_id, document_name, section_title, text, score)."""
     return f""",
@@ -614,6 +656,14 @@ def oracle() -> dict[str, str]:
         "lenders_by_approval": _with(AT_STAR, f"""SELECT lender_name, COUNT(*) AS applications, CAST(SUM(approval_indicator) AS BIGINT) AS approved,
             {APPROVAL} AS approval_rate_pct FROM fact GROUP BY lender_name"""),
         "dq_checks": _with(AT_STAR + DQ, "SELECT * FROM checks"),
+        "dq_checks_failing": _with(AT_STAR + DAMAGED, "SELECT * FROM checks"),
+        "profile_sketch": _with(AT_BRONZE + PROFILE, """SELECT position, column_name, record_count, null_count, null_pct,
+            true AS distinct_within_bound, true AS distinct_is_approximate, invalid_value_count, min_number, max_number, mean FROM profiled"""),
+        "run_log": _with(AT_STAR, """SELECT 'run-1' AS run_id, 'transformation' AS stage, 'SUCCESS' AS status, (SELECT COUNT(*) FROM bronze) AS rows_read,
+            (SELECT COUNT(*) FROM silver) AS rows_new, 0::BIGINT AS rows_updated, 0::BIGINT AS rows_unchanged,
+            (SELECT COUNT(*) FROM checked WHERE reject_reason IS NOT NULL) AS rows_rejected, NULL::VARCHAR AS error_message
+            UNION ALL SELECT 'run-1', 'dimensional_load', 'SUCCESS', silvers, facts, 0, 0, silvers - facts, NULL
+            FROM (SELECT (SELECT COUNT(*) FROM silver) AS silvers, (SELECT COUNT(*) FROM fact) AS facts)"""),
         "dq_rollup": _with(AT_STAR + DQ, """SELECT CASE WHEN bool_and(passed) THEN 'PASS' ELSE 'FAIL' END AS overall_status,
             COUNT(*) FILTER (passed) AS checks_passed, COUNT(*) AS checks_total FROM checks"""),
         "dq_orphans": _with(AT_EARLY + ORPHANS, "SELECT * FROM orphans WHERE orphans > 0"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loanmill.functions import numbers as N
 from loanmill.plans.star import Star
 from loanmill.rules import Rules
+from loanmill.session import written
 
 
 @dataclass(frozen=True)
@@ -184,3 +185,66 @@ def filter_domains(view: DataFrame) -> DataFrame:
     )
     dates = ends.filter("d IS NOT NULL").select(F.lit("application_date").alias("filter_name"), F.col("d").cast("string").alias("value"))
     return values.unionByName(dates.distinct()).orderBy("filter_name", "value")
+
+
+# -- all breakdowns from one aggregate ----------------------------------------------------------------------
+
+KEYS = ("property_key", "lender_key", "loan_product_key", "application_status", "high_risk_indicator")
+
+
+@dataclass(frozen=True)
+class Breakdowns:
+    """The whole portfolio counted once by each of its keys; dimensions meet these few rows, not the facts."""
+
+    star: Star
+    counted: DataFrame
+
+    @staticmethod
+    def of(star: Star) -> "Breakdowns":
+        """One scan of the fact table, one aggregate over grouping sets of the five keys and of nothing."""
+        rows = star.fact.select(*KEYS, "approval_indicator", "loan_amount", "date_key")
+        counted = rows.groupingSets([[F.col(k)] for k in KEYS] + [[]], *[F.col(k) for k in KEYS]).agg(
+            F.grouping_id().alias("grouping"), F.count(F.lit(1)).alias("applications"), F.sum("approval_indicator").alias("approved"),
+            F.sum("loan_amount").alias("loan_sum"), F.count("loan_amount").alias("loans"), F.min("date_key").alias("first"), F.max("date_key").alias("last"),
+        )
+        return Breakdowns(star, written(counted, "breakdowns"))
+
+    def by(self, key: str | None) -> DataFrame:
+        """Rows of one grouping set. Its number has a bit for each key that was left out."""
+        left_out = sum(1 << (len(KEYS) - 1 - i) for i, k in enumerate(KEYS) if k != key)
+        return self.counted.filter(F.col("grouping") == left_out)
+
+    def by_state(self) -> DataFrame:
+        rows = self.star.with_property(self.by("property_key")).groupBy("property_state").agg(
+            F.sum("applications").alias("applications"), F.sum("approved").alias("approved"),
+            F.try_divide(F.sum("loan_sum"), F.sum("loans")).alias("avg_loan_amount"),
+        )
+        return rows.withColumn("approval_rate_pct", N.percent(F.col("approved"), F.col("applications")))
+
+    def by_lender(self) -> DataFrame:
+        rows = self.star.with_lender(self.by("lender_key")).groupBy("lender_name").agg(
+            F.sum("applications").alias("applications"), F.sum("approved").alias("approved")
+        )
+        return rows.withColumn("approval_rate_pct", N.percent(F.col("approved"), F.col("applications")))
+
+    def by_product(self) -> DataFrame:
+        return self.star.with_product(self.by("loan_product_key")).groupBy("loan_type").agg(
+            F.sum("loan_sum").alias("loan_volume"), F.sum("applications").alias("applications")
+        )
+
+    def filter_domains(self) -> DataFrame:
+        """As the function of this name, without a look at the facts."""
+        risk = F.when(F.col("high_risk_indicator") == 1, "High risk").when(F.col("high_risk_indicator") == 0, "Standard")
+        parts = [
+            ("property_state", self.star.with_property(self.by("property_key")), F.col("property_state")),
+            ("lender_name", self.star.with_lender(self.by("lender_key")), F.col("lender_name")),
+            ("loan_type", self.star.with_product(self.by("loan_product_key")), F.col("loan_type")),
+            ("application_status", self.by("application_status"), F.col("application_status")),
+            ("risk_category", self.by("high_risk_indicator"), risk),
+            ("application_date", self.star.with_date(self.by(None).select(F.explode(F.array("first", "last")).alias("date_key"))), F.col("full_date")),
+        ]
+        out = None
+        for name, rows, value in parts:
+            part = rows.select(F.lit(name).alias("filter_name"), value.cast("string").alias("value")).filter("value IS NOT NULL").distinct()
+            out = part if out is None else out.unionByName(part)
+        return out.orderBy("filter_name", "value")

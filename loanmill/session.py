@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -51,8 +53,24 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+# Folder below the application's own that intermediate tables go to; a run may have one of its own.
+_run: ContextVar[str] = ContextVar("run", default="")
+
+
 def _scratch_root(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/loanmill/{spark.sparkContext.applicationId}"
+    return f"{shared_dir(spark)}/loanmill/{spark.sparkContext.applicationId}" + (f"/{_run.get()}" if _run.get() else "")
+
+
+@contextmanager
+def own_scratch(spark: SparkSession, name: str):
+    """Intermediate tables of the body go to a folder of their own, which is deleted behind it, also if it fails.
+    Nothing that the body returns may still read them."""
+    token = _run.set(name)
+    try:
+        yield
+    finally:
+        drop_scratch(spark)
+        _run.reset(token)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -60,7 +78,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables, once no frame built from them is needed any more."""
+    """Delete the intermediate tables of this application, or of the run that is under way, once no frame built from
+    them is needed any more."""
     files.delete(spark, _scratch_root(spark))
 
 
@@ -91,4 +110,4 @@ def spread(df: DataFrame) -> DataFrame:
 def side_by_side(*jobs: Callable[[], object]) -> list:
     """Run independent Spark jobs at the same time, so one's tail does not leave executors idle."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        return [future.result() for future in [pool.submit(job) for job in jobs]]
+        return [future.result() for future in [pool.submit(copy_context().run, job) for job in jobs]]

@@ -14,6 +14,8 @@ from loanmill.sources import files
 
 MONTH = "application_month"
 VERSION = "version"
+# The current version of a rewritten table and those before it, for readers that began earlier.
+KEPT_VERSIONS = 3
 
 
 class Warehouse:
@@ -32,16 +34,25 @@ class Warehouse:
     def has(self, name: str) -> bool:
         return files.exists(self.spark, self._pointer(name))
 
+    def _versions(self, name: str) -> list[str]:
+        """Versions that the pointer names, the current one first."""
+        return files.read_text(self.spark, self._pointer(name)).split() if self.has(name) else []
+
     def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Publish a new version. `KEPT_VERSIONS` stay readable; older folders, and those of writes that failed, go."""
         version = uuid.uuid4().hex
         df.write.parquet(f"{self.root}/{name}/{version}")
-        files.write_text(self.spark, self._pointer(name), version)
+        kept = [version, *self._versions(name)][:KEPT_VERSIONS]
+        files.write_text(self.spark, self._pointer(name), "\n".join(kept))
+        for path in files.glob(self.spark, f"{self.root}/{name}/*"):
+            if files.name_of(path) not in (*kept, files.name_of(self._pointer(name))):
+                files.delete(self.spark, path)
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
         if not self.has(name):
             raise FileNotFoundError(f"table {name} does not exist yet under {self.root}")
-        version = files.read_text(self.spark, self._pointer(name)).strip()
+        version = self._versions(name)[0]
         reader = self.spark.read
         if name in schemas.TABLES:
             reader = reader.schema(schemas.TABLES[name])
@@ -56,9 +67,6 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def scratch(self, label: str) -> str:
-        return f"{self.root}/_staging/{label}-{uuid.uuid4().hex}"
-
     # -- fact ---------------------------------------------------------------------------------
     @property
     def fact_path(self) -> str:

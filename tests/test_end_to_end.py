@@ -65,6 +65,8 @@ def test_files_in_reports_out(spark, tmp_path):
     assert warehouse.read(load.PROFILE).count() == 20
     stages = {r["stage"]: r["status"] for r in audit.latest_run(audit.log_of(warehouse)).collect()}
     assert stages == dict.fromkeys(("ingestion", "transformation", "dimensional_load", "data_quality"), "SUCCESS")
+    shared = Path(spark.conf.get("spark.checkpoint.dir")) / "loanmill" / spark.sparkContext.applicationId
+    assert not (shared / first.run_id).exists() and not list(Path(root).rglob("_staging"))
     again = load.run_all(spark, root, sources, lake.rules, datetime(2002, 1, 3))
     assert (again.load.rows_new, again.load.rows_updated, again.load.rows_unchanged) == (0, 0, first.load.rows_new)
     assert load.latest_quality_report(warehouse).first()["generated_at"] == datetime(2002, 1, 3)

@@ -3,9 +3,15 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from loanmill import schemas
 from loanmill.operators import profiling, quality
+from loanmill.operators.incremental import load_gold
 from loanmill.plans import portfolio
 from loanmill.plans.portfolio import PortfolioFilter, ViewFilter
+from loanmill.plans.star import Star
+from loanmill.session import own_scratch, scratch_path, side_by_side, written
+from loanmill.sources import files
+from loanmill.sources.tables import KEPT_VERSIONS, Warehouse
 
 FACT = (
     "application_id string, application_date timestamp_ntz, loan_amount double, applicant_income double, "
@@ -112,3 +118,63 @@ def test_view_filter_is_inclusive_and_optional(spark):
     chosen = ViewFilter(start=date(2024, 1, 1), end=date(2024, 1, 31), states=("TX",))
     assert chosen.apply(view).count() == 2
     assert tuple(portfolio.match_counts(view, chosen).first()) == (2, 4)
+
+
+def test_sketch_profile_is_exact_but_for_its_labelled_distinct_counts(spark, bronze):
+    rows = bronze({"lender": ""}, {"lender": None}, {"lender": "  "}, {"loan_amount": "$1,000"}, {"loan_amount": "x", "application_date": "13/13/2024"})
+    many = spark.range(60_000).select(
+        *[(F.col("id") % 20_011).cast("string").alias(c) if c == "application_id" else F.lit(None).cast("string").alias(c) for c in schemas.SOURCE_COLUMNS]
+    )
+    for frame, merged in ((rows, False), (rows, True), (many, False), (many, True)):
+        if merged:
+            halves = [frame.filter(F.pmod(F.hash(*frame.columns[:3]), F.lit(2)) == k) for k in (0, 1)]
+            got = profiling.merge_profiles(profiling.sketch_profile(halves[0]).unionByName(profiling.sketch_profile(halves[1])))
+        else:
+            got = profiling.sketch_profile(frame)
+        got, exact = ({r["column_name"]: r for r in p.collect()} for p in (got, profiling.profile(frame)))
+        assert set(got) == set(exact)
+        for name, r in exact.items():
+            for field in ("position", "record_count", "null_count", "null_pct", "invalid_value_count", "min_number", "max_number"):
+                assert got[name][field] == r[field], (name, field)
+            assert got[name]["distinct_is_approximate"] and abs(got[name]["distinct_count"] - r["distinct_count"]) <= 0.05 * r["distinct_count"]
+
+
+def test_all_breakdowns_come_from_one_scan_before_any_join(spark, tmp_path, silver, rules):
+    rows = [{"application_id": str(k), "property_state": "TX" if k % 3 else "FL", "property_county": f"c{k % 4}", "lender": f"l{k % 5}", "approval_indicator": k % 2,
+             "loan_amount": 1000.0 * k if k else None, "application_status": None if k == 7 else "Approved"} for k in range(24)]
+    warehouse = Warehouse(spark, f"{tmp_path}/lake")
+    load_gold(warehouse, silver(*rows), rules, "r1")
+    star = Star.load(warehouse)
+    plans = []
+
+    def spied(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, label)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(portfolio, "written", spied)
+        all_of = portfolio.Breakdowns.of(star)
+    assert len(plans) == 1 and plans[0].count("Scan parquet") == 1 and "Expand" in plans[0] and "Join" not in plans[0]
+    view = star.portfolio_view()
+
+    def same(a, b):
+        order = lambda r: tuple(str(x) for x in r)
+        assert sorted((tuple(r) for r in a.select(*b.columns).collect()), key=order) == sorted((tuple(r) for r in b.collect()), key=order)
+
+    same(all_of.by_state(), portfolio.by_state(view))
+    same(all_of.by_lender(), portfolio.by_lender(view))
+    same(all_of.by_product(), portfolio.by_product(view))
+    same(all_of.filter_domains(), portfolio.filter_domains(view))
+
+
+def test_a_stated_number_of_versions_is_kept(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/lake")
+    frames = [warehouse.write("t", spark.range(k)) for k in range(1, 6)]
+    assert [f.count() for f in frames[-KEPT_VERSIONS:]] == [3, 4, 5] and warehouse.read("t").count() == 5
+    assert sum(p.is_dir() for p in (tmp_path / "lake" / "t").iterdir()) == KEPT_VERSIONS
+    with own_scratch(spark, "run-x"):
+        written(spark.range(3), "some").count()
+        side_by_side(lambda: written(spark.range(3), "more"))
+        folder = scratch_path(spark, "x").rsplit("/", 1)[0]
+        assert folder.endswith("run-x") and len(files.glob(spark, f"{folder}/*")) == 2
+    assert not files.exists(spark, folder) and "run-x" not in scratch_path(spark, "x")
