@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,13 +22,15 @@ from loanmill.llm.common import in_batches, staged
 
 CAPACITY = 2048
 SEPARATOR = 0
-# Rounds of multiplicative weights; each prices all lengths by one dynamic program.
-ROUNDS = 24
-RATE = 4.0
-# Configurations priced within this share of the best one are used in a round.
-NEAR_BEST = 0.03
-# Pieces numbered in one task.
-NUMBERED = 50_000
+# Rounds of multiplicative weights, each with one knapsack program, on fractions and then on what rounding left.
+ROUNDS = 40
+WHOLE_ROUNDS = 60
+# How fast a length loses weight while it gets covered, and the most that a round covers of it.
+RATE = 1.0
+STEP = 0.25
+# The program is solved for these weights of a length n against the capacity, n ** power; configurations priced within
+# the share of the best one are used in a round of fractions, and in a whole one. A power above one keeps short pieces back as fillers.
+VARIANTS = ((1.3, 0.1, 0.1), (1.0, 0.03, 0.01))
 # Tokenized words that a worker remembers.
 REMEMBERED = 3 << 20
 
@@ -108,10 +111,12 @@ def default_vocabulary() -> str:
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, vocabulary: str | None, keep_ids: bool) -> DataFrame:
-    """(`id`, `piece`, `start`, `length`, `ids_crc32`[, `ids`]): each text's ids and the separator, cut at the capacity."""
+    """(`id`, `piece`, `start`, `length`, `ids_crc32`, `task`, `nth`[, `ids`]): each text's ids and the separator, cut at the capacity.
+    `nth` numbers the pieces of one length that a task cuts."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _word_tokens(vocabulary or default_vocabulary())
+        seen, task = np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for batch, texts in tb.blocks(batches, "text"):
             ids, begins = encoder.encode(texts)
             lengths = np.diff(begins) + 1
@@ -124,16 +129,21 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, vocabular
             low = begins[:-1][row] + row + start
             raw = stream.tobytes()
             crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(low.tolist(), length.tolist())]
+            order = np.argsort(length, kind="stable")
+            first = np.searchsorted(length[order], length[order], "left")
+            nth = np.empty(len(length), np.int64)
+            nth[order] = seen[length[order]] + np.arange(len(length)) - first
+            seen += np.bincount(length, minlength=capacity + 1)
             columns = [batch.column("id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                       pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-            names = ["id", "piece", "start", "length", "ids_crc32"]
+                       pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(np.full(len(length), task), pa.int32()), pa.array(nth)]
+            names = ["id", "piece", "start", "length", "ids_crc32", "task", "nth"]
             if keep_ids:
                 columns.append(tb.list_column(stream.astype(np.int32), np.append(low, len(stream)), pa.int32()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids array<int>" if keep_ids else "")
+    schema = f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, task int, nth bigint" + (", ids array<int>" if keep_ids else "")
     return in_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), cut, schema)
 
 
@@ -143,16 +153,18 @@ Configuration = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
 
 def price(values: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unbounded knapsack: (best value by capacity, the last length taken there, 0 if none)."""
+    """Unbounded knapsack: (best value by capacity, the last length taken there, 0 if none; the longest of those that tie)."""
     best, taken = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    for size in range(1, capacity + 1):
-        best[size], taken[size] = best[size - 1], 0
-        fit = int(np.searchsorted(lengths, size, "right"))
-        if fit:
-            worth = values[:fit] + best[size - lengths[:fit]]
-            k = int(np.argmax(worth))
-            if worth[k] > best[size]:
-                best[size], taken[size] = worth[k], lengths[k]
+    falling, worth_of = lengths[::-1], values[::-1]
+    from_ = len(lengths) - np.searchsorted(lengths, np.arange(capacity + 1), "right")
+    for size in range(int(lengths[0]), capacity + 1):
+        fitting = falling[from_[size] :]
+        worth = worth_of[from_[size] :] + best[size - fitting]
+        k = int(worth.argmax())
+        if worth[k] > best[size - 1]:
+            best[size], taken[size] = worth[k], fitting[k]
+        else:
+            best[size] = best[size - 1]
     return best, taken
 
 
@@ -168,34 +180,42 @@ def _unrolled(first: int, capacity: int, taken: np.ndarray) -> Configuration:
     return tuple(sorted(config.items(), reverse=True))
 
 
-def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> dict[Configuration, float]:
-    """A fractional cover of the histogram by configurations: how often each is used.
+def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, power: float = 1.0, near: float = 0.03,
+          whole: bool = False) -> dict[Configuration, float]:
+    """How often each configuration is used in a cover that exceeds no length: fractions, or `whole` numbers.
 
-    A length weighs less the more it is covered. In each round the knapsack program prices every capacity, which gives the
-    best configuration around each length; those near the best of all are used so often that their first length is
-    covered once. At the end the uses are scaled to cover what is asked.
+    A length's weight falls exponentially with the share of it that is covered. The knapsack program of a round prices every
+    capacity by fresh weights, which gives the best configuration around each open length. Those near the best of all are used, longest
+    first; a step is bounded by the scarcest length of the configuration, as the weights of a round allow a length only
+    a part of what it needs.
     """
     lengths = np.array(sorted(counts))
     wanted = np.array([counts[n] for n in lengths.tolist()], float)
     index = {n: k for k, n in enumerate(lengths.tolist())}
-    covered = np.zeros(len(lengths))
+    left = wanted.copy()
     uses: dict[Configuration, float] = {}
     for _ in range(rounds):
-        weights = np.exp(-RATE * (covered - covered.min()))
-        # A length's share of the capacity is the least it costs; weights rank what is still open.
-        values = lengths / capacity * (0.5 + 0.5 * weights / weights.max())
-        best, taken = price(values, lengths, capacity)
-        total = values + best[capacity - lengths]
-        open_ = np.flatnonzero((total >= (1 - NEAR_BEST) * total.max()) & (covered <= covered.min() + 1))
-        for k in open_.tolist():
-            config = _unrolled(int(lengths[k]), capacity, taken)
-            of = dict(config)[int(lengths[k])]
-            amount = wanted[k] / of
+        open_ = np.flatnonzero(left > 1e-9)
+        if not len(open_):
+            break
+        at = lengths[open_]
+        values = (at / capacity) ** power * np.exp(-RATE * (1 - left[open_] / wanted[open_]))
+        best, taken = price(values, at, capacity)
+        total = values + best[capacity - at]
+        share = np.minimum(left, np.maximum(wanted, 1.0) if whole else STEP * wanted)
+        for k in np.flatnonzero(total >= (1 - near) * total.max())[::-1].tolist():
+            if share[open_[k]] <= 1e-9:
+                continue
+            config = _unrolled(int(at[k]), capacity, taken)
+            amount = min(share[index[n]] / many for n, many in config)
+            amount = float(int(amount + 1e-9)) if whole else amount
+            if amount <= 1e-9:
+                continue
             uses[config] = uses.get(config, 0.0) + amount
             for n, many in config:
-                covered[index[n]] += many * amount / wanted[index[n]]
-    scale = np.maximum(covered, 1.0)
-    return {c: x / max(scale[index[n]] for n, _ in c) for c, x in uses.items()}
+                share[index[n]] -= many * amount
+                left[index[n]] -= many * amount
+    return uses
 
 
 def _fitted(counts: dict[int, int], capacity: int) -> dict[Configuration, int]:
@@ -236,22 +256,50 @@ def _fitted(counts: dict[int, int], capacity: int) -> dict[Configuration, int]:
     return out
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Configuration, int]]:
-    """Whole uses of configurations that hold every length exactly as often as the histogram has it.
+def _rounded(counts: dict[int, int], capacity: int, power: float, near: float, whole_near: float) -> tuple[dict[Configuration, int], int]:
+    """(whole uses that hold every length exactly, how many of them the program gave).
 
-    Fractions are rounded down, fullest configurations first and never beyond what is left; the rest is fitted.
+    Fractions are rounded down; what that leaves is covered by whole steps of the same program, and the rest is fitted.
     """
     left, out = dict(counts), {}
-    ranked = sorted(solve(counts, capacity, rounds).items(), key=lambda c: (-sum(n * k for n, k in c[0]), c[0])) if counts else []
-    for config, uses in ranked:
-        whole = min([int(uses + 1e-9)] + [left[n] // k for n, k in config])
-        if whole > 0:
-            out[config] = out.get(config, 0) + whole
-            for n, k in config:
-                left[n] -= k * whole
-    for config, bins in _fitted({n: c for n, c in left.items() if c}, capacity).items():
-        out[config] = out.get(config, 0) + bins
-    return sorted(out.items())
+
+    def use(uses: dict[Configuration, float]) -> None:
+        for config, amount in uses.items():
+            bins = int(amount + 1e-9)
+            if bins:
+                out[config] = out.get(config, 0) + bins
+                for n, many in config:
+                    left[n] -= many * bins
+
+    use(solve(counts, capacity, ROUNDS, power, near))
+    rest = {n: c for n, c in left.items() if c}
+    if rest:
+        use(solve(rest, capacity, WHOLE_ROUNDS, power, whole_near, whole=True))
+    priced = sum(out.values())
+    use(_fitted({n: c for n, c in left.items() if c}, capacity))
+    return out, priced
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Configuration, int]]:
+    """Whole uses of configurations that hold every length exactly as often as the histogram has it.
+
+    The program's variants are tried until one needs no more sequences than the tokens do; the plan of fewest
+    sequences counts, and it is never worse than best fit alone.
+    """
+    if not counts:
+        return []
+    least = -(-sum(n * c for n, c in counts.items()) // capacity)
+    best: dict[Configuration, int] = {}
+    for variant in VARIANTS:
+        out, _ = _rounded(counts, capacity, *variant)
+        if not best or sum(out.values()) < sum(best.values()):
+            best = out
+        if sum(best.values()) == least:
+            break
+    else:
+        fitted = _fitted(counts, capacity)
+        best = fitted if sum(fitted.values()) < sum(best.values()) else best
+    return sorted(best.items())
 
 
 @dataclass
@@ -284,16 +332,15 @@ class Places:
         return self.sequence[at] + inside // self.each[at], self.offset[at] + inside % self.each[at] * length
 
 
-def _numbered(cut: DataFrame, total: int) -> DataFrame:
-    """`cut` with `rank`, a number from 0 without gaps within each length. Slots of a hash of the piece split a frequent
-    length; a slot's numbers begin where the earlier slots of its length end."""
-    slots = max(1, -(-total // NUMBERED))
-    slotted = cut.withColumn("slot", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(slots)))
-    sizes = slotted.groupBy("length", "slot").agg(F.count(F.lit(1)).alias("n"))
-    begin = Window.partitionBy("length").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sizes.select("length", "slot", F.coalesce(F.sum("n").over(begin), F.lit(0)).alias("begin"))
-    inside = F.row_number().over(Window.partitionBy("length", "slot").orderBy("id", "piece", "ids_crc32")) - 1
-    return slotted.withColumn("inside", inside).join(begins, ["length", "slot"]).withColumn("rank", F.col("begin") + F.col("inside"))
+def _numbered(cut: DataFrame) -> DataFrame:
+    """`cut` with `rank`, a number from 0 without gaps within each length: where the pieces of its task begin, and its number there.
+
+    Only the counts by length and task are put in order; pieces need not be alike to be told apart.
+    """
+    sizes = cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = staged(sizes.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin")), "piece-numbers")
+    return cut.join(begins, ["length", "task"]).withColumn("rank", F.col("begin") + F.col("nth"))
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
@@ -322,8 +369,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
                     [*payload, "sequence_id", "offset"],
                 )
 
-    ranked = _numbered(cut, sum(counts.values())).select(*payload, "rank")
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema)
+    ranked = _numbered(cut).select(*payload, "rank")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema if f.name in payload)
     placed = in_batches(ranked, place, f"{kinds}, sequence_id bigint, offset bigint")
     return placed.withColumnRenamed("id", id_col)
 
