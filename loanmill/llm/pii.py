@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanmill.functions.text import given
 from loanmill.llm import spans
 from loanmill.llm.common import fresh, row_key, staged
 
@@ -99,24 +100,25 @@ def _may_be(kind: Column, text: Column) -> Column:
 def units(text: Column) -> Column:
     """Possible identifiers of a text: (`start`, `end`, `text`, `patterns`), the patterns being the two words before, and the words
     on both sides. Punctuation around an identifier is not part of it."""
-    found = spans.find(text, UNIT)
-    gaps = F.split(text, UNIT, -1)
     word = lambda gap, k: F.element_at(F.split(F.lower(F.trim(F.regexp_replace(gap, r"\s+", " "))), " "), k)
 
-    def unit(span: Column, place: Column) -> Column:
-        before, after = F.element_at(gaps, place + 1), F.element_at(gaps, place + 2)
-        words = F.split(F.lower(F.trim(F.regexp_replace(F.right(before, F.lit(200)), r"\s+", " "))), " ")
-        last = F.element_at(words, -1)
-        second = F.when(F.size(words) > 1, F.element_at(words, -2)).otherwise(F.lit("#"))
-        following = word(F.left(after, F.lit(200)), 1)
+    def unit(span: Column) -> Column:
+        words = F.split(F.lower(F.trim(F.regexp_replace(F.right(span["before"], F.lit(200)), r"\s+", " "))), " ")
+        following = word(F.left(span["after"], F.lit(200)), 1)
         lead = F.length(span["text"]) - F.length(F.regexp_replace(span["text"], r"^[^0-9A-Za-z+@]+", ""))
         core = F.regexp_replace(span["text"], r"^[^0-9A-Za-z+@]+|[^0-9A-Za-z]+$", "")
-        start = span["start"] + lead
-        patterns = F.array(F.concat_ws(" ", F.lit("<"), second, last), F.concat_ws(" ", F.lit("<>"), last, following))
-        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("text"), patterns.alias("patterns"))
+
+        def shown(words: Column, core: Column) -> Column:
+            start, last = span["start"] + lead, F.element_at(words, -1)
+            second = F.when(F.size(words) > 1, F.element_at(words, -2)).otherwise(F.lit("#"))
+            patterns = F.array(F.concat_ws(" ", F.lit("<"), second, last), F.concat_ws(" ", F.lit("<>"), last, following))
+            return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("text"), patterns.alias("patterns"))
+
+        return given(words, lambda words: given(core, lambda core: shown(words, core)))
 
     kind = "array<struct<start:int,end:int,text:string,patterns:array<string>>>"
-    return F.when(text.rlike("[0-9@]"), F.filter(F.transform(found, unit), lambda u: F.length(u["text"]) > 2)).otherwise(F.array().cast(kind))
+    found = F.transform(spans.find_between(text, UNIT), unit)
+    return F.when(text.rlike("[0-9@]"), F.filter(found, lambda u: F.length(u["text"]) > 2)).otherwise(F.array().cast(kind))
 
 
 def bootstrap(edges: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -153,21 +155,29 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     read. Instances are compared without regard to case.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+
+    def free_units(base: Column, found: Column) -> Column:
+        return given(spans.apart(found, base), lambda free: F.transform(found, lambda u, k: F.struct(
+            u["start"].alias("start"), u["end"].alias("end"), u["text"].alias("text"), u["patterns"].alias("patterns"), F.get(free, k).alias("free")
+        )))
+
+    def scan(base: Column) -> Column:
+        return given(units(F.col("_text")), lambda found: F.struct(base.alias("base"), free_units(base, found).alias("units")))
+
     scanned = docs.select(F.col(id_col).alias("id"), row_key(id_col, text).alias("row"), text.alias("_text")).select(
-        "id", "row", base_spans(F.col("_text")).alias("base"), units(F.col("_text")).alias("units")
+        "id", "row", given(base_spans(F.col("_text")), scan).alias("found")
     )
-    table = staged(scanned, "pii-scan")
-    seen = table.filter(F.size("units") > 0).select("row", "base", F.explode("units").alias("unit"))
+    table = staged(scanned.select("id", "row", "found.base", "found.units"), "pii-scan")
+    seen = table.filter(F.size("units") > 0).select("row", F.explode("units").alias("unit"))
     occurrences = seen.select(
-        "row", "base", F.col("unit.start").alias("start"), F.col("unit.end").alias("end"), F.col("unit.text").alias("text"),
-        F.lower("unit.text").alias("instance"), F.col("unit.patterns").alias("patterns"),
+        "row", F.col("unit.start").alias("start"), F.col("unit.end").alias("end"), F.col("unit.text").alias("text"),
+        F.lower("unit.text").alias("instance"), F.col("unit.patterns").alias("patterns"), F.col("unit.free").alias("free"),
     )
     edges = staged(occurrences.select(F.explode("patterns").alias("pattern"), "instance").distinct(), "edges")
     spelled = occurrences.groupBy("instance").agg(F.min("text").alias("text"))
     seeds = staged(spelled.select("instance", _seed_kind(F.col("text")).alias("kind")).filter("kind is not null"), "seeds")
     new = bootstrap(edges, seeds)
-    apart = F.forall("base", lambda s: (s["end"] <= F.col("start")) | (s["start"] >= F.col("end")))
-    added = occurrences.join(new, "instance").filter(apart & _may_be(F.col("kind"), F.col("text"))).groupBy("row").agg(
+    added = occurrences.filter("free").join(new, "instance").filter(_may_be(F.col("kind"), F.col("text"))).groupBy("row").agg(
         F.collect_set(F.struct("kind", "start", "end")).alias("added")
     )
     return table.join(added, "row", "left").select(
@@ -188,17 +198,9 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     spans_of = F.concat(base_spans(F.coalesce(text, F.lit(""))), F.coalesce(more, F.array().cast(_SPANS)))
     order = F.array_sort(F.transform(spans_of, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("before"), s["kind"].alias("kind"))))
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
-
-    def step(state: Column, s: Column) -> Column:
-        between = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        piece = F.concat(state["out"], between, F.element_at(names, s["kind"] + 1))
-        return F.struct(
-            F.greatest(state["at"], -s["before"]).alias("at"), F.when(s["start"] < state["at"], state["out"]).otherwise(piece).alias("out")
-        )
-
-    rest = lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
-    masked = F.aggregate(every, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
-    done = joined.withColumn(every, order).withColumn(out, F.when(F.size(every) > 0, masked).otherwise(text))
+    ends = F.transform(order, lambda s: F.struct(s["start"].alias("start"), (-s["before"]).alias("end"), s["kind"].alias("kind")))
+    masked = spans.replaced(text, F.col(every), lambda s: F.element_at(names, s["kind"] + 1))
+    done = joined.withColumn(every, ends).withColumn(out, masked)
     return done.select(*[F.col(out).alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 
