@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass
 
 # Every pattern matches text that has one of these, so a text without them needs no rule at all.
-ANCHORS = ("licen", "copyleft", "spdx", "public domain", "creative commons", "gpl", "rights reserved", "warranty", "copyright", "redistribution")
+ANCHORS = ("licen", "copyleft", "spdx", "public domain", "creative commons", "gpl", "rights reserved", "warranty", "copyright", "redistribution", "mozilla org")
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,8 @@ LICENSES = [
     ("mit-0", "mit", rf"mit (?:no attribution|0) {_L}"),
     ("x11", "x11", rf"x11 {_L}"),
     ("expat", "expat", rf"expat {_L}"),
-    ("isc", "isc", rf"isc {_L}|internet (?:systems|software) consortium {_L}"),
+    ("isc", "isc", rf"isc {_L}"),
+    ("isc", "consortium", rf"internet (?:systems|software) consortium {_L}"),
     ("apache-1.0", "apache", rf"apache(?: software)? {_L}{_V} 1 0"),
     ("apache-1.1", "apache", rf"apache(?: software)? {_L}{_V} 1 1"),
     ("apache-2.0", "apache", rf"apache(?: software)? {_L}{_V} ?2(?: 0)?|apache 2(?: 0)? {_L}"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import re._constants as sre
+import re._parser as sre_parser
 import zlib
 from collections import Counter, defaultdict
 
@@ -271,3 +273,41 @@ def test_shards_are_even_and_do_not_depend_on_partitions(table, tricky, nothing)
     assert {(r.doc_id, r.shard, r.slot) for r in rows} == {(r.doc_id, r.shard, r.slot) for r in again}
     edge = sharding.assign(tricky, 4).collect()
     assert sorted(r.row_number for r in edge) == list(range(13)) and sharding.assign(nothing).count() == 0
+
+
+def examples(pattern):
+    """Texts that the pattern matches, but for what it looks ahead for: each alternative once, each optional part out and in."""
+
+    def of(items):
+        parts = [one(op, arg) for op, arg in items]
+        plain = [p[0] for p in parts]
+        return ["".join(plain)] + ["".join([*plain[:k], v, *plain[k + 1 :]]) for k, p in enumerate(parts) for v in p[1:]]
+
+    def one(op, arg):
+        if op is sre.LITERAL:
+            return [chr(arg)]
+        if op is sre.IN:
+            return [chr(a if o is sre.LITERAL else a[0]) for o, a in arg if o in (sre.LITERAL, sre.RANGE)][:1] or ["x"]
+        if op is sre.BRANCH:
+            return [v for branch in arg[1] for v in of(branch)]
+        if op is sre.SUBPATTERN:
+            return of(arg[3])
+        if op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
+            return [v * arg[0] for v in of(arg[2])] + (of(arg[2]) if not arg[0] else [])
+        return [""] if op in (sre.ASSERT, sre.ASSERT_NOT, sre.AT) else ["x"]
+
+    return of(sre_parser.parse(pattern))
+
+
+def test_every_alternative_of_every_rule_passes_its_prefilter(table):
+    seen = 0
+    for rule in license_rules.rules():
+        behind = " copyright" if "(?=" in rule.pattern else ""
+        for text in examples(rule.pattern):
+            assert re.search(rule.pattern, text + behind) and rule.keyword in text, (rule.label, text)
+            assert any(anchor in text + behind for anchor in license_rules.ANCHORS), (rule.label, text)
+            seen += 1
+    assert seen > 3_000
+    texts = ["internet systems consortium license applies here", "this is under mozilla.org/MPL/2.0 terms"]
+    rows = license_scan.scan(table(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [[d.label for d in r.detections] for r in rows] == [["isc"], ["mpl-2.0"]]
