@@ -38,8 +38,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048 tokens."""
-    return packing.pack(docs)
+    """The pieces of all documents, with their token ids, in sequences of 2048 tokens."""
+    return packing.pack(docs, keep_ids=True)
 
 
 STAGES = [
