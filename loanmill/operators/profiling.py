@@ -84,7 +84,7 @@ def profile(
     )
 
 
-SKETCH_PRECISION = 12
+SKETCH_PRECISION = 14
 
 
 def sketch_profile(
