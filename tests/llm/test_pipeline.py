@@ -45,5 +45,5 @@ def test_query_equals_sql(spark, name):
     assert compare.differences(QUERIES[name](spark, SF), compare.connect(SF), ORACLE[name]) == []
 
 
-def test_ten_queries_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_queries_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
