@@ -245,11 +245,41 @@ def test_conversations_read_back(table):
     assert got[1].turns_sha256 == digest(("user", "hi\n\n é"), ("assistant", rows[0][3]), ("tool[OUT]", "x"), ("", ""))
     assert (got[1].n_turns, got[1].loss_chars, got[1].loss_sha256) == (4, len(rows[0][3]), hashlib.sha256(rows[0][3].encode()).hexdigest())
     assert (got[2].n_turns, got[2].loss_chars, got[None].n_turns) == (3, 2, 1)
-    masks = {r.conv_id: (r.ids, r.mask) for r in formatted.collect()}
-    assert all(len(i) == len(m) and set(m) <= {0, 1} for i, m in masks.values()) and sum(masks[3][1]) == 0
+    output = formatted.orderBy("conv_id", "nth").collect()
+    assert all(len(r.ids) == len(r.mask) and set(r.mask) <= {0, 1} for r in output)
+    assert not any(sum(r.mask) for r in output if r.conv_id == 3)
+    assert [r.nth for r in output if r.conv_id == 2] == [0, 1, 2]
+    assert all((r.ids[0] == chat_format.BOS) == (r.nth == 0) for r in output)
     assert chat_format.format_chats(conversations.limit(0)).count() == 0
 
 
+def test_a_conversation_of_most_rows_spreads_over_tasks(spark, monkeypatch):
+    """One conversation, and one of repeated rows without id or number, go over many ranges and read back whole."""
+    monkeypatch.setattr(chat_format, "RANGE_TURNS", 5_000)
+    long = spark.range(200_000).select(
+        F.lit(4).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("t "), F.col("id") * 7919 % 1000).alias("text"),
+    )
+    same = spark.range(60_000).select(
+        F.lit(None).cast("long").alias("conv_id"), F.lit(None).cast("long").alias("turn"), F.lit("assistant").alias("role"), F.lit("again").alias("text")
+    )
+    encoded = chat_format.turns(chat_format.in_order(long.unionAll(same)))
+    per_range = [r["count"] for r in encoded.groupBy("range").count().collect()]
+    assert len(per_range) > 30 and max(per_range) < 15_000
+    formatted = chat_format.format_chats(long.unionAll(same))
+    got = {r.conv_id: r for r in chat_format.digests(formatted).collect()}
+    said = [("user" if k % 2 == 0 else "assistant", f"t {k * 7919 % 1000}") for k in range(200_000)]
+    assert got[4].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
+    assert got[4].loss_sha256 == hashlib.sha256("".join(t for r, t in said if r == "assistant").encode()).hexdigest()
+    assert (got[None].n_turns, got[None].loss_chars) == (60_000, 300_000)
+    # Places have no gaps: each turn begins where the one before it ends.
+    sizes = formatted.select("conv_id", "nth", "start", F.size("ids").alias("n"))
+    ends = sizes.groupBy("conv_id").agg(F.max(F.col("start") + F.col("n")).alias("end"), F.sum("n").alias("all"), F.countDistinct("nth").alias("turns"))
+    assert all(r.end == r["all"] and r.turns == (200_000 if r.conv_id else 60_000) for r in ends.collect())
+    starts = sizes.filter("conv_id = 4").orderBy("nth").collect()
+    assert all(a.start + a.n == b.start for a, b in zip(starts, starts[1:]))
+
+
 # -- shards
 
 
