@@ -305,6 +305,20 @@ def test_shards_are_even_and_do_not_depend_on_partitions(table, tricky, nothing)
     assert sorted(r.row_number for r in edge) == list(range(13)) and sharding.assign(nothing).count() == 0
 
 
+def test_rows_that_repeat_are_numbered_in_many_tasks(spark, monkeypatch):
+    """A third of all rows alike, without id or text: each has a slot of its own, and no task writes more than a cut of them."""
+    monkeypatch.setattr(sharding, "COPIES", 700)
+    ids = spark.range(10_000).select("id", F.concat(F.lit("text "), F.col("id")).alias("text"))
+    docs = ids.unionAll(spark.range(5_000).select(F.lit(None).cast("long"), F.lit(None).cast("string"))).withColumnRenamed("id", "doc_id")
+    rows = sharding.assign(docs, 16).collect()
+    assert sorted(r.row_number for r in rows) == list(range(15_000)) and sum(r.doc_id is None for r in rows) == 5_000
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) == 16
+    assert {r.shard for r in rows if r.doc_id is None} == set(range(16))
+
+
 def examples(pattern):
     """Texts that the pattern matches, but for what it looks ahead for: each alternative once, each optional part out and in."""
 
