@@ -148,9 +148,15 @@ def near_duplicates(
     rooted = _linked(docs, id_col, text_col, shingle, percent, nodes, _table_keys(nodes, t))
     members = sketch.select(F.col("id"), "n", "fp").join(rooted.withColumnRenamed("node", "fp"), "fp", "left")
     members = staged(members.select("id", "n", "fp", F.coalesce("root", "fp").alias("root")), "members")
-    # Most components are one node; the smallest id of each is a grouped minimum, combined before the shuffle.
-    smallest = members.filter("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
-    joined = members.join(smallest, "root", "left")
+    # The smallest id of a component is a grouped minimum, combined before the shuffle, and written before it is joined:
+    # beside an aggregate of the same key a frequent root could not be split. A row that is alone names itself.
+    smallest = staged(
+        members.filter("root is not null").groupBy("root").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1").drop("rows"),
+        "smallest-ids",
+    )
+    joined = members.join(smallest.withColumn("found", F.lit(True)), "root", "left")
+    joined = joined.withColumn("component_id", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("id")))
     component = F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return joined.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -161,11 +167,12 @@ def near_duplicates(
 def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, nodes: DataFrame, keys: DataFrame) -> DataFrame:
     """(`node`, `root`) of all nodes that have a link."""
     crowded = keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high")
+    crowded = staged(crowded.select("key"), "keys-of-several")
     open_ = staged(keys.join(crowded.select("key"), "key"), "crowded-keys")
     wanted = nodes.select("fp", "row").join(open_.select("fp").distinct(), "fp")
     sets = _shingle_sets(docs, id_col, text_col, shingle, wanted)
     leader = F.min(F.struct(F.xxhash64("fp"), "fp"))
-    leaders = open_.groupBy("key").agg(leader.alias("leader"))
+    leaders = staged(open_.groupBy("key").agg(leader.alias("leader")), "leaders")
     led = open_.join(leaders, "key").filter(F.col("fp") != F.col("leader.fp"))
     pairs = led.select(F.least("fp", "leader.fp").alias("a"), F.greatest("fp", "leader.fp").alias("b")).distinct()
     links = _verified(staged(pairs, "pairs"), nodes, sets, percent)
@@ -182,7 +189,8 @@ def _table_keys(nodes: DataFrame, t: int) -> DataFrame:
     that no other node has can't lead to a partner and is left out before the pairs are formed."""
     halves = nodes.select("fp", F.posexplode("halves").alias("place", "half"))
     shared = halves.groupBy("place", "half").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high")
-    held = staged(halves.join(shared.select("place", "half"), ["place", "half"]), "shared-halves")
+    shared = staged(shared.select("place", "half"), "halves-of-several")
+    held = staged(halves.join(shared, ["place", "half"]), "shared-halves")
     sides = held.groupBy("fp").agg(
         F.collect_list(F.when(F.col("place") < t, F.col("half"))).alias("first"),
         F.collect_list(F.when(F.col("place") >= t, F.col("half"))).alias("second"),
@@ -229,8 +237,10 @@ def _hidden_links(crowded: DataFrame, nodes: DataFrame, sets: DataFrame, rooted:
     links come out than there are members.
     """
     placed = crowded.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = staged(placed, "rooted-keys")
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    members = placed.join(mixed.select("key"), "key").groupBy("fp").agg(F.first("root").alias("root"))
+    mixed = staged(mixed.select("key"), "keys-of-several-roots")
+    members = placed.join(mixed, "key").groupBy("fp").agg(F.first("root").alias("root"))
     joined = members.join(nodes.select("fp", "n", "halves", "signature"), "fp")
     t = F.size("halves") / 2
     at_half = staged(
@@ -240,6 +250,7 @@ def _hidden_links(crowded: DataFrame, nodes: DataFrame, sets: DataFrame, rooted:
     sizes = at_half.groupBy("place", "half").agg(
         F.count(F.lit(1)).alias("members"), F.sum("n").alias("weight"), F.min("root").alias("low"), F.max("root").alias("high")
     ).filter("low <> high")
+    sizes = staged(sizes, "half-sizes")
     blocks = F.greatest(F.ceil(F.col("members") / MEMBER_BLOCK), F.ceil(F.col("weight") / SHINGLE_BLOCK)).cast("int")
     # A member is in block h(fp); each two blocks of a half key are one group, and a member goes to the groups of its block.
     member = at_half.join(sizes.select("place", "half", blocks.alias("blocks")), ["place", "half"])
