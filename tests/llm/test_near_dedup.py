@@ -66,6 +66,24 @@ def test_blocks_of_any_size_find_the_same(spark, table, monkeypatch):
     assert got == expected(rows, 3, 85)
 
 
+def test_a_third_of_all_rows_in_one_component(spark, table):
+    """Copies and near copies of one text make up a third of all rows; joins on what they share give the same results when
+    nothing travels whole."""
+    near = family(12, 80, 8)
+    rows = [(k, near[k % 12] if k % 3 == 0 else f"alone {k} " + " ".join(f"u{k}x{j}" for j in range(12))) for k in range(900)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = near_dedup.near_duplicates(table(rows, "doc_id long, text string"), shingle=3, percent=85).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    distinct = {text: k for k, text in reversed(rows)}
+    of = expected([(k, t) for t, k in distinct.items()], 3, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {k: of[distinct[t]][:2] for k, t in rows}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found) and len(found) == 900
+
+
 def test_near_copies_with_null_and_repeated_ids(table):
     texts = family(40, 60, 4) + family(20, 80, 5)
     ids = [None if k % 3 == 0 else 7 + k % 4 for k in range(40)] + [None] * 20
