@@ -156,7 +156,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn_fold, id_col: str = "doc_id",
 
     def sampled(ids: DataFrame, size: int, limit: int) -> DataFrame:
         share = min(1_000_000, 1_000_000 * limit // size)
-        return ids.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000)) < share).limit(limit)
+        place = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000))
+        # In order of the hash, so that the same ids are taken however the rows are dealt.
+        return ids.filter(place < share).orderBy(place, "id").limit(limit)
 
     toxic = sampled(marked.filter("toxic = 1").select("id"), seen.toxic, POSITIVES).withColumn("positive", F.lit(True))
     other = sampled(pool.distinct(), total, UNLABELLED).withColumn("positive", F.lit(False))

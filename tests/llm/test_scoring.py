@@ -184,3 +184,13 @@ def test_toxicity_edge_rows(tricky, nothing, table):
     assert toxicity.score(tricky, model).count() == 13
     none = toxicity.fit(nothing, labels.limit(0), lambda c: F.lit(True))
     assert toxicity.score(nothing, none).count() == 0 and toxicity.score(tricky, none).select("score").distinct().count() == 1
+
+
+def test_toxicity_samples_do_not_depend_on_partitions(table, monkeypatch):
+    monkeypatch.setattr(toxicity, "POSITIVES", 30)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 60)
+    docs = table([(k, prose(k, 30) + (" vile slurs" if k % 5 == 0 else "")) for k in range(400)], "doc_id long, text string")
+    labels = table([(k, int(k % 5 == 0)) for k in range(400)], "doc_id long, toxic int")
+    models = [toxicity.fit(docs.repartition(n), labels.repartition(n), lambda c: F.lit(True)) for n in (1, 5)]
+    assert len(models[0].features) and np.array_equal(models[0].features, models[1].features)
+    assert np.allclose(models[0].weights, models[1].weights)
