@@ -18,6 +18,8 @@ from loanmill.sources import files
 
 # Questions travel to the chunks in blocks of at most so many bytes.
 QUESTION_BYTES = 32 << 20
+# A task scores at most so many questions against so many chunks at once, whatever the sizes of block and batch.
+TILE_QUESTIONS, TILE_CHUNKS = 256, 10_000
 # Scores are compared after rounding here, so the order of additions cannot change a ranking.
 SCORE_DIGITS = 9
 WORD = r"[\p{L}\p{N}_]+"
@@ -108,16 +110,24 @@ class _Best:
     def __init__(self, k: int):
         self.k = k
         self.rows = self.ids = self.scores = None
+        self.floor = None
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Take in a questions x chunks score matrix. Only cells that reach their row's k-th best score are
-        sorted; ties with it stay in until ids decide."""
-        if scores.shape[1] > self.k:
-            kth = np.partition(scores, -self.k, axis=1)[:, -self.k][:, None]
-            rows, cols = np.nonzero(scores >= kth)
+        """Take in a questions x chunks matrix of exact scores. Only cells that may reach their row's k-th best score are
+        rounded and sorted; ties with it stay in until ids decide."""
+        if self.floor is None and scores.shape[1] > self.k:
+            least = np.partition(scores, -self.k, axis=1)[:, -self.k]
         else:
+            least = self.floor
+        if least is None:
             rows, cols = np.nonzero(np.ones_like(scores, dtype=bool))
-        found = rows, ids[cols], scores[rows, cols]
+        else:
+            # Cells that rounding may lift to the k-th best score are let in.
+            slack = 2 * 10.0**-SCORE_DIGITS + 1e-14 * np.where(np.isfinite(least), np.abs(least), 0)
+            rows, cols = np.nonzero(scores >= (least - slack)[:, None])
+        if not len(rows):
+            return
+        found = rows, ids[cols], np.round(scores[rows, cols], SCORE_DIGITS)
         if self.rows is not None:
             held = self.rows, self.ids, self.scores
             found = tuple(np.concatenate(pair) for pair in zip(held, found))
@@ -127,6 +137,8 @@ class _Best:
         place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
         keep = place < self.k
         self.rows, self.ids, self.scores = rows[keep], ids[keep], values[keep]
+        if np.count_nonzero(place == self.k - 1) == len(scores):
+            self.floor = values[place == self.k - 1]
 
     def batch(self, names: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({
@@ -134,10 +146,6 @@ class _Best:
         })
 
 
-def _scores(questions: np.ndarray, chunks: np.ndarray) -> np.ndarray:
-    return np.round(questions @ chunks.T, SCORE_DIGITS)
-
-
 def _ranked(scored: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("question_id").orderBy(F.col("score").desc(), "chunk_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -167,7 +175,7 @@ def top_k(questions: DataFrame, chunks: DataFrame, k: int, block_bytes: int = QU
 
     Inputs are (`question_id`, distinct, `embedding`) and (`chunk_id`, `embedding`). Chunks stay where they are, at any number of
     questions: blocks of questions, bounded in bytes, travel to them one after the other. Pairs are scored as matrix
-    products, and a task keeps and hands on no more than its k best per question.
+    products of bounded size, and a task keeps and hands on no more than its k best per question.
     """
     spark = questions.sparkSession
     questions = questions.filter(F.col("embedding").isNotNull()).select("question_id", "embedding")
@@ -197,11 +205,15 @@ def _block_search(block: pa.Table, chunks: DataFrame, k: int, schema: T.StructTy
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, wanted = shared.value
-        best = _Best(k)
+        starts = range(0, len(names), TILE_QUESTIONS)
+        best = [_Best(k) for _ in starts]
         for batch in batches:
-            if batch.num_rows:
-                best.add(_scores(wanted, _matrix(batch.column("embedding"))), np.array(batch.column("chunk_id").to_pylist()))
-        if best.rows is not None:
-            yield best.batch(names)
+            for part in (batch.slice(at, TILE_CHUNKS) for at in range(0, batch.num_rows, TILE_CHUNKS)):
+                vectors, ids = _matrix(part.column("embedding")), np.array(part.column("chunk_id").to_pylist())
+                for tile, at in zip(best, starts):
+                    tile.add(wanted[at : at + TILE_QUESTIONS] @ vectors.T, ids)
+        for tile, at in zip(best, starts):
+            if tile.rows is not None:
+                yield tile.batch(names[at : at + TILE_QUESTIONS])
 
     return chunks.mapInArrow(search, schema), shared

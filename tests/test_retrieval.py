@@ -1,10 +1,12 @@
 import hashlib
 import math
 import re
+import tracemalloc
 from collections import Counter
 from time import perf_counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +107,50 @@ def test_search_equals_brute_force(spark, block):
     assert {(r["question_id"], r["rank"], r["chunk_id"]) for r in found} == expected
 
 
+def test_tiles_of_any_size_find_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    chunks = rng.integers(-2, 3, size=(70, 3)).astype(np.float32)  # many ties
+    ids = [f"c{i:03d}" for i in rng.permutation(70)]
+    frame = _vectors(spark, "chunk_id", chunks, ids).coalesce(1)
+    asked = _vectors(spark, "question_id", chunks[:20], [f"q{i}" for i in range(20)])
+    exact = chunks[:20].astype(float) @ chunks.astype(float).T
+    expected = {
+        (f"q{i}", rank, c) for i in range(20) for rank, c in enumerate([c for _, c in sorted((-s, c) for s, c in zip(exact[i], ids))][:4], start=1)
+    }
+    for questions, rows in ((256, 10_000), (7, 9), (1, 3), (20, 1)):
+        monkeypatch.setattr(vectors, "TILE_QUESTIONS", questions)
+        monkeypatch.setattr(vectors, "TILE_CHUNKS", rows)
+        found = vectors.top_k(asked, frame, 4).collect()
+        assert {(r["question_id"], r["rank"], r["chunk_id"]) for r in found} == expected
+
+
+def test_memory_of_a_search_is_bounded_by_its_tile():
+    """A full block of questions meets a full batch of chunks: the matrix of all their scores would take 1.6 GB."""
+    rng = np.random.default_rng(3)
+    wanted, chunks = rng.normal(size=(20_000, 4)), rng.normal(size=(10_000, 4)).astype(np.float32)
+
+    class Shared:
+        value = (list(range(len(wanted))), wanted)
+
+    class Chunks:
+        class sparkSession:
+            class sparkContext:
+                broadcast = staticmethod(lambda _: Shared)
+
+        mapInArrow = staticmethod(lambda search, schema: search)
+
+    lists = pa.array(list(chunks), pa.list_(pa.float32()))
+    batch = pa.RecordBatch.from_pydict({"chunk_id": list(range(len(chunks))), "embedding": lists})
+    block = pa.table({"question_id": [0], "embedding": pa.array([[0.0]], pa.list_(pa.float32()))})
+    search, _ = vectors._block_search(block, Chunks, 4, None)
+    tracemalloc.start()
+    found = sum(b.num_rows for b in search(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 4 * len(wanted)
+    assert peak < 300 << 20
+
+
 def test_search_with_fewer_chunks_than_k_and_without_questions(spark):
     chunks = _vectors(spark, "chunk_id", np.eye(2), ["a", "b"])
     found = vectors.top_k(_vectors(spark, "question_id", np.eye(2), ["q", "r"]), chunks, 4)
