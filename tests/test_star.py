@@ -179,3 +179,21 @@ def test_question_runner_goes_on_after_a_failure(warehouse, silver, bronze, rule
     answers = Q.run_questions(Star.load(warehouse), bronze({}).drop("lender"), rules)
     assert [name for name, _, _ in answers] == [f"q{k:02d}" for k in range(1, 11)]
     assert [name for name, rows, error in answers if error] in ([], ["q09"]) and answers[0][1][0]["total_applications"] == 1
+
+
+def test_a_first_load_forms_hashes_behind_its_last_exchange(spark, warehouse, silver, rules, monkeypatch):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    plans, replace = [], Warehouse.replace_months
+
+    def seen(self, months, rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        replace(self, months, rows)
+
+    monkeypatch.setattr(Warehouse, "replace_months", seen)
+    rows = silver({"application_id": "A-1"}, {"application_id": "A-2", "updated_timestamp": None})
+    load_gold(warehouse, rows, rules, "run-1")
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    above, below = plans[0].split("RebalancePartitions")
+    assert "sha2" in above and "sha2" not in below
+    expected = {tuple(r) for r in rows.select("application_id", fingerprint(rows, schemas.HASH_COLUMNS)).collect()}
+    assert {tuple(r) for r in warehouse.fact().select("application_id", "row_hash").collect()} == expected
