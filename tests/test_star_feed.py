@@ -2,8 +2,10 @@
 
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 
+from loanmill import session
 from loanmill.plans import lake as lakes
 from loanmill.plans.lake import Lake
 from loanmill.sources import star_feed
@@ -61,3 +63,12 @@ def test_lines_do_not_travel_to_customers(spark, tables):
     below = [line for line in lines[at + 1 :]]
     below = below[: next((k for k, line in enumerate(below) if depth(line) <= depth(lines[at])), len(below))]
     assert below and not any("l_orderkey" in line for line in below)
+
+
+def test_row_groups_of_written_tables_are_smaller_than_a_split(spark, monkeypatch):
+    assert session.ROW_GROUP_BYTES < int(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    monkeypatch.setattr(session, "ROW_GROUP_BYTES", 1 << 20)
+    table = session.written(spark.range(400_000).coalesce(1).selectExpr("xxhash64(id) AS h"), "row-groups")
+    (path,) = [f for f in table.inputFiles()]
+    assert pq.ParquetFile(path.removeprefix("file://")).num_row_groups > 1
+    assert table.distinct().count() == 400_000
