@@ -24,7 +24,7 @@ def read_documents(spark: SparkSession, pattern: str) -> DataFrame:
 def clean_text(c: Column) -> Column:
     """Unify line ends, squeeze blanks and tabs, keep at most one empty line, strip."""
     c = F.replace(c, F.lit("\r\n"), F.lit("\n"))
-    c = F.regexp_replace(c, r"[ \t]+", " ")
+    c = F.regexp_replace(c, r"[ \t]{2,}|\t", " ")  # a blank by itself stays as it is
     return X.strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 
@@ -47,10 +47,12 @@ def sections(documents: DataFrame) -> DataFrame:
     first_line = F.substring_index("part", "\n", 1)
     is_lead = F.col("section_no") == 0
     rest = F.when(is_lead, F.col("part")).otherwise(F.expr("substring(part, length(substring_index(part, '\n', 1)) + 2)"))
+    # Behind an explode the body is worked out once, though both the filter and the windows look at it.
+    body = X.strip(F.regexp_replace(rest, TITLE_LINE, ""))
     named = parts.select(
         "document", "title", "section_no",
         F.when(is_lead, "Overview").otherwise(X.strip(first_line)).alias("section_title"),
-        X.strip(F.regexp_replace(rest, TITLE_LINE, "")).alias("body"),
+        F.explode(F.array(body)).alias("body"),
     )
     return named.filter("body <> ''")
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanmill.functions.text import given
 from loanmill.session import scratch_path
 from loanmill.sources import files
 
@@ -22,55 +23,87 @@ QUESTION_BYTES = 32 << 20
 TILE_QUESTIONS, TILE_CHUNKS = 256, 10_000
 # Scores are compared after rounding here, so the order of additions cannot change a ranking.
 SCORE_DIGITS = 9
-WORD = r"[\p{L}\p{N}_]+"
+NO_WORD = r"[^\p{L}\p{N}_]+"
 FEATURES = 512
+# A task turns so many texts into vectors at once.
+ENCODED_ROWS = 10_000
 
 
-def _buckets(text: Column, features: int) -> Column:
-    """Sorted buckets of the words of a text, one entry per word: the first 32 bits of the word's MD5 modulo `features`."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    bucket = lambda w: (F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long") % features).cast("int")
-    return F.array_sort(F.transform(words, bucket))
+def _words(text: Column) -> Column:
+    """Lower-cased words of a text with blanks between them."""
+    return F.regexp_replace(F.lower(text), NO_WORD, " ")
 
 
-@dataclass(frozen=True)
-class WordEncoder:
-    """Hashed word counts, weighted by one plus the inverse document frequency, of unit length: column expressions
-    only. `weights` has one entry per bucket. Meant for texts of chunk size; the work grows with the square of a text's words."""
+def _digests(words: pa.Array) -> np.ndarray:
+    """First 32 bits of the MD5 of each word."""
+    _, offsets, data = words.cast(pa.large_binary()).buffers()
+    begins = np.frombuffer(offsets, np.int64)[: len(words) + 1].tolist()
+    whole = data.to_pybytes() if data else b""
+    first = b"".join([hashlib.md5(whole[a:b], usedforsecurity=False).digest()[:4] for a, b in zip(begins, begins[1:])])
+    return np.frombuffer(first, ">u4").astype(np.int64)
 
-    weights: tuple[float, ...]
 
-    def vector(self, text: Column) -> Column:
-        """Float array with an entry per bucket; all zero for a text without words, NULL for no text."""
-        features, weight = len(self.weights), F.lit(list(self.weights))
+def _counted(words: pa.Array, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, bucket, count) of every bucket that a text's words fall into, in this order. A word's bucket is its digest modulo `features`,
+    worked out once per different word of a batch."""
+    split = pc.split_pattern(words, " ")
+    rows = np.repeat(np.arange(len(words)), pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False))
+    coded = split.flatten().dictionary_encode()
+    empty = pc.equal(coded.dictionary, "").to_numpy(zero_copy_only=False)
+    bucket = np.where(empty, -1, _digests(coded.dictionary) % features)[coded.indices.to_numpy(zero_copy_only=False)]
+    real = bucket >= 0
+    cells, counts = np.unique(rows[real] * features + bucket[real], return_counts=True)
+    return cells // features, cells % features, counts
 
-        def dense(buckets: Column, distinct: Column) -> Column:
-            # Counting by removal stays in tight loops over small integer arrays.
-            count = lambda b: (F.size(buckets) - F.size(F.array_remove(buckets, b))).cast("double")
-            values = F.transform(distinct, lambda b: count(b) * F.get(weight, b))
 
-            def spaced(values: Column) -> Column:
-                norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, v: total + v * v))
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ENCODED_ROWS):
+            yield batch.slice(at, ENCODED_ROWS)
 
-                def entry(b: Column, i: Column, norm: Column) -> Column:
-                    before = F.when(i == 0, F.lit(-1)).otherwise(F.get(distinct, i - 1))
-                    return F.concat(F.array_repeat(zero, b - before - 1), F.array((F.get(values, i) / norm).cast("float")))
 
-                filled = given(norm, lambda norm: F.flatten(F.transform(distinct, lambda b, i: entry(b, i, norm))))
-                last = F.coalesce(F.get(distinct, F.size(distinct) - 1), F.lit(-1))
-                return F.concat(filled, F.array_repeat(zero, F.lit(features - 1) - last))
+@dataclass(frozen=True)
+class WordEncoder:
+    """Hashed word counts, weighted by one plus the inverse document frequency, of unit length. `weights` has one entry per
+    bucket. Spark cuts texts into words; tasks count them in batches, so the work is in proportion to the words."""
 
-            return given(values, spaced)
+    weights: tuple[float, ...]
 
-        zero = F.lit(0.0).cast("float")
-        encoded = given(_buckets(text, features), lambda b: given(F.array_distinct(b), lambda d: dense(b, d)))
-        return F.when(text.isNotNull(), encoded)
+    def vectors(self, words: pa.Array) -> pa.Array:
+        """Float array with an entry per bucket for each text; all zero for a text without words, NULL for no text."""
+        features = len(self.weights)
+        row, bucket, counts = _counted(words, features)
+        values = counts * np.array(self.weights)[bucket]
+        norm = np.sqrt(np.bincount(row, values * values, len(words)))
+        dense = np.zeros((len(words), features), np.float32)
+        dense[row, bucket] = values / norm[row]
+        begins = pa.array(np.arange(len(words) + 1, dtype=np.int32) * features)
+        return pa.ListArray.from_arrays(begins, pa.array(dense.ravel()), mask=words.is_null())
+
+    def embed(self, df: DataFrame, text_col: str) -> DataFrame:
+        held = df.drop("embedding")
+        names = held.columns
+        schema = T.StructType([*held.schema.fields, T.StructField("embedding", T.ArrayType(T.FloatType()))])
+
+        def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in _slices(batches):
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], self.vectors(batch.columns[-1])], [*names, "embedding"])
+
+        return df.select(*[held[c] for c in names], _words(F.col(text_col)).alias("_words")).mapInArrow(encode, schema)
 
 
 def fit_encoder(df: DataFrame, text_col: str = "text", features: int = FEATURES) -> WordEncoder:
     """Default encoder: the weight of each bucket from the number of texts that hold it, over all texts."""
-    held = F.concat(F.array(F.lit(-1)), F.array_distinct(_buckets(F.col(text_col), features)))
-    counts = df.filter(F.col(text_col).isNotNull()).select(F.explode(held).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(features + 1, np.int64)
+        for batch in _slices(batches):
+            seen[:-1] += np.bincount(_counted(batch.column(0), features)[1], minlength=features)
+            seen[-1] += batch.num_rows
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array([*range(features), -1], pa.int32()), "n": pa.array(seen)})
+
+    texts_held = df.filter(F.col(text_col).isNotNull()).select(_words(F.col(text_col)).alias("_words")).mapInArrow(held, "bucket int, n bigint")
+    counts = texts_held.groupBy("bucket").agg(F.sum("n").alias("n"))
     seen = {r["bucket"]: r["n"] for r in counts.collect()}  # a row per bucket, and the number of texts
     texts = seen.get(-1, 0)
     return WordEncoder(tuple(round(math.log((1 + texts) / (1 + seen.get(b, 0))) + 1, 6) for b in range(features)))
@@ -82,9 +115,7 @@ def embed(df: DataFrame, encoder, text_col: str = "text") -> DataFrame:
     `encoder` is fitted as above or any function DataFrame -> DataFrame that adds the column, such as a
     `mapInPandas` around a sentence model.
     """
-    if isinstance(encoder, WordEncoder):
-        return df.withColumn("embedding", encoder.vector(F.col(text_col)))
-    return encoder(df)
+    return encoder.embed(df, text_col) if isinstance(encoder, WordEncoder) else encoder(df)
 
 
 def write_index(df: DataFrame, path: str) -> None:

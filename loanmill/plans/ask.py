@@ -15,8 +15,11 @@ ROW = "_question_row"
 
 def build_index(documents: DataFrame, encoder=None, rules: Rules = Rules()):
     """(index, encoder): chunks of (`document`, `text`) rows with their vectors. Without an encoder the
-    default one is fitted on the chunks."""
-    chunks = written(chunking.chunk_documents(documents, rules), "chunks")
+    default one is fitted on the chunks.
+
+    Documents are dealt evenly first: files of few row groups would leave all of their text to as many tasks."""
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = written(chunking.chunk_documents(documents.repartition(tasks), rules), "chunks")
     encoder = encoder or vectors.fit_encoder(chunks)
     return vectors.embed(chunks, encoder), encoder
 

@@ -178,6 +178,26 @@ def test_encoder_equals_plain_python(spark):
         assert r["embedding"] == pytest.approx(raw / (np.linalg.norm(raw) or 1.0), abs=1e-6)
 
 
+def test_documents_of_one_partition_are_dealt_before_they_are_cut(spark, monkeypatch):
+    rows = [(f"d{k}", f"## S{k}\nwords of document number {k}") for k in range(40)]
+    seen, write = {}, ask.written
+
+    def written(df, label):
+        seen[label] = df.select(F.spark_partition_id().alias("p")).distinct().count()
+        return write(df, label)
+
+    monkeypatch.setattr(ask, "written", written)
+    index, _ = ask.build_index(documents(spark, *rows).coalesce(1))
+    assert seen["chunks"] > 1
+    assert sorted(r["document_name"] for r in index.select("document_name").collect()) == sorted(name for name, _ in rows)
+
+
+@pytest.mark.parametrize("text", ["a b", "a  b", "a\tb", "a \tb", "a\t b", "\ta\t\t", " a ", "a\n\n\n \t\nb", "a\r\n\tb", " ", ""])
+def test_clean_text_equals_plain_python(spark, text):
+    expected = re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+", " ", text.replace("\r\n", "\n"))).strip()
+    assert spark.createDataFrame([(text,)], "t string").select(chunking.clean_text(F.col("t"))).first()[0] == expected
+
+
 def test_repeated_and_missing_question_ids_get_their_own_answers(spark):
     index, encoder = ask.build_index(documents(spark, ("a", "## S\napples grow on trees"), ("b", "## S\nboats float on water")))
     rows = [("1", "apples grow on trees"), ("1", "boats float on water"), (None, "boats float"), (None, "x"), ("1", "apples grow on trees")]
