@@ -41,6 +41,13 @@ _KIND[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] =
 _KIND[list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~\\")] = 2
 
 
+def _either(places: np.ndarray, others: np.ndarray, last: int) -> np.ndarray:
+    """Places from 0 to `last` that are in one of the arrays or both, ascending: marked, neither sorted nor hashed."""
+    marked = np.zeros(last + 1, bool)
+    marked[places] = marked[others] = True
+    return np.flatnonzero(marked)
+
+
 class WordTokens:
     """Token ids of words, each distinct word tokenized once. The vocabulary lowers its input, drops white space, and never
     matches across white space, nor from a letter or digit to most signs, so the ids of a text are those of its parts."""
@@ -63,7 +70,7 @@ class WordTokens:
             return tb.span_hashes(texts.data, starts, ends), np.stack([starts, ends]), first
         kind = _KIND[texts.data]
         cuts = np.flatnonzero(kind[1:] * kind[:-1] == 2) + 1
-        starts, ends = np.union1d(starts, cuts), np.union1d(ends, cuts)
+        starts, ends = _either(starts, cuts, len(kind)), _either(ends, cuts, len(kind))
         return tb.span_hashes(texts.data, starts, ends, tb.LOWER), np.stack([starts, ends]), np.searchsorted(starts, texts.bounds)
 
     def encode(self, texts: tb.Texts) -> tuple[np.ndarray, np.ndarray]:
