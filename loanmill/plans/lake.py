@@ -48,12 +48,11 @@ class Lake:
 
     @cached_property
     def landing(self) -> Landing:
-        """Both files of the feed, landed one after the other as two deliveries. The choice of a file reaches the scan of the
-        order lines, so each line is worked out once, straight into its batch."""
+        """Both files of the feed, landed as two deliveries with times and batches of their own. One pass over the tables works out
+        all lines, straight into their batches, so what both files join with is read and exchanged once."""
         landing = Landing(self.spark, f"{self.root}/bronze")
-        rows = star_feed.feed(self.spark, self.sf_dir)
-        for name, time in ((star_feed.CSV_FILE, star_feed.CSV_TIME), (star_feed.JSON_FILE, star_feed.JSON_TIME)):
-            landing.load(rows.filter(F.col("_source_file") == name), time, [name])
+        times = {star_feed.CSV_FILE: star_feed.CSV_TIME, star_feed.JSON_FILE: star_feed.JSON_TIME}
+        landing.load_each(star_feed.feed(self.spark, self.sf_dir), times)
         return landing
 
     @cached_property

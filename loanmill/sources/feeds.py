@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from loanmill import schemas
 from loanmill.functions import numbers as N
 from loanmill.functions import text as X
-from loanmill.session import side_by_side, written
+from loanmill.session import setting, side_by_side, written
 from loanmill.sources import files
 
 log = logging.getLogger(__name__)
@@ -156,6 +156,9 @@ def mark_malformed(rows: DataFrame) -> DataFrame:
 
 # -- Bronze -----------------------------------------------------------------------------------------------
 
+_STORED = T.StructType([
+    *schemas.BRONZE_SCHEMA.fields, T.StructField("_quarantined", T.BooleanType()), T.StructField("_file_key", T.StringType())
+])
 MANIFEST = "file_key string, file string, batch string, files_of_batch bigint, loaded bigint, rejected bigint"
 
 
@@ -203,10 +206,7 @@ class Landing:
             raise FileNotFoundError(f"nothing has been landed in {self.path}")
         manifest = self.manifest()
         batches = manifest.groupBy("batch").agg(F.count(F.lit(1)).alias("files"), F.max("files_of_batch").alias("of")).collect()
-        schema = T.StructType([
-            *schemas.BRONZE_SCHEMA.fields, T.StructField("_quarantined", T.BooleanType()), T.StructField("_file_key", T.StringType()),
-            T.StructField("batch", T.StringType()),
-        ])
+        schema = T.StructType([*_STORED.fields, T.StructField("batch", T.StringType())])
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/rows")
         whole = [self._batch_path(b["batch"]) for b in batches if b["files"] == b["of"]]
         parts = [self._batch_path(b["batch"]) for b in batches if b["files"] != b["of"]]
@@ -242,9 +242,7 @@ class Landing:
         stamped = mark_malformed(rows).withColumns({"_ingestion_timestamp": N.moment(ingested_at), "_quarantined": kind})
         name = uuid.uuid4().hex
         stamped.select(*schemas.BRONZE_SCHEMA.names, "_quarantined", "_file_key").write.parquet(self._batch_path(name))
-        batch = self.spark.read.schema(
-            T.StructType([*schemas.BRONZE_SCHEMA.fields, T.StructField("_quarantined", T.BooleanType()), T.StructField("_file_key", T.StringType())])
-        ).parquet(self._batch_path(name))
+        batch = self.spark.read.schema(_STORED).parquet(self._batch_path(name))
         checked = schemas.SOURCE_COLUMNS if check_columns else ()
         absent = F.array_compact(F.array(*[F.when(F.count(c) == 0, F.lit(c)) for c in checked])) if checked else F.array().cast("array<string>")
         # A key has one file name; as a grouping column it keeps the aggregate from sorting all rows.
@@ -255,6 +253,25 @@ class Landing:
         )
         return Batch(name, written(counts, "file-counts"))
 
+    def stage_each(self, rows: DataFrame, times: dict[str, datetime]) -> list[Batch]:
+        """Write the rows of the files that `times` names, each file as a batch of its own with its time, all in one pass over `rows`
+        (source columns and `_source_file`)."""
+        names = {file: uuid.uuid4().hex for file in times}
+        of_file = lambda values: F.coalesce(*[F.when(F.col("_source_file") == file, value) for file, value in values.items()])
+        stamped = mark_malformed(rows.filter(F.col("_source_file").isin(list(times)))).withColumns({
+            "_ingestion_timestamp": of_file({file: N.moment(time) for file, time in times.items()}), "_file_key": F.col("_source_file"),
+            "batch": of_file({file: F.lit(name) for file, name in names.items()}),
+        })
+        # A task keeps a writer open for each file, where it would otherwise sort its rows by file.
+        with setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", str(len(times))):
+            stamped.select(*_STORED.names, "batch").write.mode("append").partitionBy("batch").parquet(f"{self.path}/rows")
+        schema = T.StructType([*_STORED.fields, T.StructField("batch", T.StringType())])
+        batch = self.spark.read.schema(schema).parquet(f"{self.path}/rows").filter(F.col("batch").isin(list(names.values())))
+        counts = written(batch.groupBy("batch", F.col("_file_key").alias("file_key"), F.col("_source_file").alias("file")).agg(
+            F.count(F.when(~F.col("_quarantined"), 1)).alias("loaded"), F.count(F.when(F.col("_quarantined"), 1)).alias("rejected")
+        ), "file-counts")
+        return [Batch(name, counts.filter(F.col("batch") == name).drop("batch")) for name in names.values()]
+
     def publish(self, batches: Sequence[tuple[Batch, DataFrame]], emptied: Sequence[str] = ()) -> None:
         """Let the given files, rows of each batch's counts, be what the landing has of them; and
         `emptied` be keys of files without a row."""
@@ -294,6 +311,10 @@ class Landing:
         batch = self.stage(rows, ingested_at)
         self.publish([(batch, batch.counts)], file_names)
 
+    def load_each(self, rows: DataFrame, times: dict[str, datetime]) -> None:
+        """Land the files that `times` names with their times, as a load of each would, from one pass over `rows`."""
+        self.publish([(batch, batch.counts) for batch in self.stage_each(rows, times)], list(times))
+
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     result = frames[0]

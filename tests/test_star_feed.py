@@ -1,14 +1,17 @@
 """The feed derived from order tables, on rows of its own."""
 
+import re
 from datetime import datetime
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
-from loanmill import session
+from loanmill import schemas, session
 from loanmill.plans import lake as lakes
 from loanmill.plans.lake import Lake
 from loanmill.sources import star_feed
+from loanmill.sources.feeds import Landing
 
 DAY = datetime(1996, 3, 1)
 TABLES = {
@@ -72,3 +75,35 @@ def test_row_groups_of_written_tables_are_smaller_than_a_split(spark, monkeypatc
     (path,) = [f for f in table.inputFiles()]
     assert pq.ParquetFile(path.removeprefix("file://")).num_row_groups > 1
     assert table.distinct().count() == 400_000
+
+
+def test_both_files_are_landed_by_one_pass(spark, tables):
+    lake = Lake(spark, tables)
+    landing = lake.landing
+    files = [path.split("/")[-2:] for path in lake.bronze.inputFiles()]
+    jobs = {re.match(r"part-\d+-(.{36})", name).group(1) for _, name in files}
+    assert len(jobs) == 1 and len({folder for folder, _ in files}) == 2
+    times = {(r["_source_file"], r["_ingestion_timestamp"]) for r in landing.bronze().collect()}
+    assert times == {(star_feed.CSV_FILE, star_feed.CSV_TIME), (star_feed.JSON_FILE, star_feed.JSON_TIME)}
+    assert {(r["file"], r["files_of_batch"]) for r in landing.manifest().collect()} == {(star_feed.CSV_FILE, 1), (star_feed.JSON_FILE, 1)}
+
+
+def test_a_file_of_the_pass_without_rows_is_landed_empty(spark, tmp_path):
+    landing = Landing(spark, str(tmp_path / "bronze"))
+    cells = [F.lit("1").alias(c) for c in schemas.SOURCE_COLUMNS[1:]]
+    rows = spark.range(3).select(F.when(F.col("id") > 0, "1").alias("application_id"), *cells, F.lit("a.csv").alias("_source_file"))
+    landing.load_each(rows, {"a.csv": DAY, "b.csv": DAY})
+    assert {tuple(r) for r in landing.counts().collect()} == {("a.csv", 2, 1), ("b.csv", 0, 0)}
+    landing.load_each(rows.limit(0), {"a.csv": DAY})
+    assert {tuple(r) for r in landing.counts().collect()} == {("a.csv", 0, 0), ("b.csv", 0, 0)}
+
+
+def test_a_setting_holds_for_its_body_only(spark):
+    key, get = "spark.sql.maxConcurrentOutputFileWriters", lambda: spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    with pytest.raises(ValueError), session.setting(spark, key, "2"):
+        assert get() == "2"
+        with session.setting(spark, key, "3"):
+            assert get() == "3"
+        assert get() == "2"
+        raise ValueError
+    assert get() is None
