@@ -5,6 +5,9 @@ from time import sleep
 from pyspark import SparkContext
 from pyspark.sql import functions as F
 
+from loanmill import schemas
+from loanmill.functions.hashing import fingerprint
+from loanmill.operators import incremental as I
 from loanmill.operators.incremental import load_gold
 from loanmill.plans import load
 from loanmill.session import configure, own_scratch, scratch_path
@@ -49,3 +52,35 @@ def test_a_scratch_folder_within_another_goes_with_it(spark):
     with own_scratch(spark, "outer"), own_scratch(spark, "inner"):
         folder = scratch_path(spark, "x").rsplit("/", 1)[0]
     assert folder.endswith("/outer/inner")
+
+
+def changed_plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_later_load_forms_hashes_behind_its_exchanges(spark, tmp_path, silver, rules):
+    warehouse = Warehouse(spark, str(tmp_path))
+    first = silver({"application_id": "A-1"}, {"application_id": "A-2"}, {"application_id": "A-3"})
+    load_gold(warehouse, first, rules, "run-1")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    found = changed_plan(I.classify(first, warehouse.fact(with_month=True)))
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    above, below = found.split("Join LeftOuter")
+    assert "sha2" in above and "sha2" not in below
+    second = silver({"application_id": "A-1"}, {"application_id": "A-2", "loan_amount": 1.0}, {"application_id": "A-4", "applicant_id": None}, {"application_id": "A-5"})
+    done = load_gold(warehouse, second, rules, "run-2")
+    assert (done.rows_new, done.rows_updated, done.rows_unchanged, done.rows_rejected) == (1, 1, 1, 1)
+    expected = {tuple(r) for rows in (first, second) for r in rows.select("application_id", fingerprint(rows, schemas.HASH_COLUMNS)).collect()}
+    stored = {tuple(r) for r in warehouse.fact().select("application_id", "row_hash").collect()}
+    assert stored <= expected and {i for i, _ in stored} == {"A-1", "A-2", "A-3", "A-5"} and len(stored) == 4
+
+
+def test_only_replaced_ids_meet_the_stored_rows(spark, tmp_path, silver, rules, monkeypatch):
+    warehouse, seen = Warehouse(spark, str(tmp_path)), []
+    rows = lambda amounts: silver(*[{"application_id": f"A-{k}", "loan_amount": a} for k, a in amounts.items()])
+    load_gold(warehouse, rows({1: 1.0, 2: 1.0}), rules, "run-1")
+    written = I.written
+    monkeypatch.setattr(I, "written", lambda df, label: seen.append({r[0] for r in df.collect()}) or written(df, label))
+    load_gold(warehouse, rows({2: 2.0, 3: 3.0}), rules, "run-2")
+    assert seen == [{"A-2"}, {"A-1"}]
+    assert {r["application_id"]: r["loan_amount"] for r in warehouse.fact().collect()} == {"A-1": 1.0, "A-2": 2.0, "A-3": 3.0}
