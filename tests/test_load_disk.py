@@ -1,5 +1,7 @@
 """What the load chain leaves on disk, on rows of its own."""
 
+import gzip
+from datetime import datetime
 from time import sleep
 
 from pyspark import SparkContext
@@ -9,10 +11,13 @@ from loanmill import schemas
 from loanmill.functions.hashing import fingerprint
 from loanmill.operators import incremental as I
 from loanmill.operators.incremental import load_gold
+from loanmill.plans import lake as lake_module
 from loanmill.plans import load
+from loanmill.plans.lake import Lake
 from loanmill.session import configure, own_scratch, scratch_path
-from loanmill.sources import files
+from loanmill.sources import feeds, files, star_feed
 from loanmill.sources.tables import Warehouse
+from test_star_feed import TABLES
 
 
 def scratch_left(spark):
@@ -84,3 +89,39 @@ def test_only_replaced_ids_meet_the_stored_rows(spark, tmp_path, silver, rules,
     load_gold(warehouse, rows({2: 2.0, 3: 3.0}), rules, "run-2")
     assert seen == [{"A-2"}, {"A-1"}]
     assert {r["application_id"]: r["loan_amount"] for r in warehouse.fact().collect()} == {"A-1": 1.0, "A-2": 2.0, "A-3": 3.0}
+
+
+def tables(spark, path):
+    for name, (schema, rows) in TABLES.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
+
+
+def test_raw_files_are_packed_and_go_once_they_are_landed(spark, tmp_path, monkeypatch):
+    tables(spark, tmp_path)
+    lake, seen, ingest = Lake(spark, str(tmp_path)), [], feeds.ingest
+
+    def listed(spark, sources, *more):
+        seen.append([[files.name_of(p) for p in files.glob(spark, s.pattern)] for s in sources])
+        return ingest(spark, sources, *more)
+
+    monkeypatch.setattr(lake_module, "ingest", listed)
+    before = scratch_left(spark)
+    landing = lake.from_files
+    assert len(seen) == 2 and seen[0] == seen[1] and all(seen[0])
+    small = {"c", "b"}  # region and nation, which lack columns
+    assert sum(not n.endswith(".gz") for names in seen[0] for n in names) <= 2 * len(small)
+    assert landing.bronze().count() + landing.quarantine().count() == star_feed.feed(spark, str(tmp_path)).count() > 0
+    assert not files.exists(spark, f"{lake.root}/raw") and scratch_left(spark) - before <= {files.name_of(lake.root)}
+
+
+def test_the_header_of_a_packed_file_is_read(spark, tmp_path):
+    names = [*reversed(schemas.SOURCE_COLUMNS)]
+    (tmp_path / "core").mkdir()
+    for name in ("1", "2"):
+        with gzip.open(tmp_path / "core" / f"{name}.csv.gz", "wt") as out:
+            out.write(",".join(names) + "\n" + ",".join(f"{c}-{name}" for c in names) + "\n")
+    assert files.head(spark, f"{tmp_path}/core/1.csv.gz", 14).decode() == ",".join(names)[:14]
+    landing = feeds.Landing(spark, f"{tmp_path}/bronze")
+    found = feeds.ingest(spark, [feeds.Source("core", "csv", f"{tmp_path}/core/*.csv.gz")], landing, datetime(2024, 1, 1))
+    assert (found.loaded, found.rejected, found.skipped) == (2, 0, 0)
+    assert {(r["application_id"], r["lender"]) for r in landing.bronze().collect()} == {("application_id-1", "lender-1"), ("application_id-2", "lender-2")}
