@@ -269,3 +269,18 @@ def test_a_function_can_be_the_encoder(spark):
         return df.withColumn("embedding", F.array(F.length("text").cast("float")))
 
     assert vectors.embed(spark.createDataFrame([("ab",)], "text string"), encoder).first()["embedding"] == [2.0]
+
+
+@pytest.mark.parametrize("held, scans", [(vectors.QUESTION_BYTES, 1), (6 * 8 * 8, 4), (1, 20)])
+def test_a_pass_over_the_chunks_serves_many_blocks(spark, monkeypatch, held, scans):
+    """Twenty questions in blocks of one; a pass serves as many as `held` bytes take."""
+    rng, passes, search = np.random.default_rng(5), [], vectors._search
+    chunks, questions = rng.normal(size=(50, 8)).astype(np.float32), rng.normal(size=(20, 8)).astype(np.float32)
+    frame = lambda name, matrix: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], f"{name} bigint, embedding array<float>")
+    monkeypatch.setattr(vectors, "QUESTION_BYTES", held)
+    monkeypatch.setattr(vectors, "_search", lambda blocks, *more: passes.append([b.num_rows for b in blocks]) or search(blocks, *more))
+    found = vectors.top_k(frame("question_id", questions), frame("chunk_id", chunks), 4, 8 * 8).collect()
+    assert len(passes) == scans and all(rows == 1 for some in passes for rows in some) and sum(map(len, passes)) == 20
+    exact = np.round(questions.astype(float) @ chunks.astype(float).T, vectors.SCORE_DIGITS)
+    expected = {(q, rank, int(c)) for q in range(20) for rank, c in enumerate(np.argsort(-exact[q], kind="stable")[:4], start=1)}
+    assert {(r["question_id"], r["rank"], r["chunk_id"]) for r in found} == expected
