@@ -306,7 +306,9 @@ def leading(matrix: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     count = min(count, len(matrix))
     diagonal, off, q = tridiagonal(matrix)
     values = bisected(diagonal, off, count)
-    values = values[: int((values > LEAST_SHARE * max(float(values[0]), 0.0)).sum())] if values[0] > 0 else values[:0]
+    # A value right at the bound stays: the largest value's rounding can put it on either side, by machine.
+    least = (LEAST_SHARE - len(matrix) * _EPS) * max(float(values[0]), 0.0)
+    values = values[: int((values > least).sum())] if values[0] > 0 else values[:0]
     if not len(values):
         return values, np.zeros((len(matrix), 0))
     return values, q @ inverse_iteration(diagonal, off, values)
